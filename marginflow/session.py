@@ -19,6 +19,7 @@ _DEFAULTS = {
     # broadcasting (see operators.joins).
     "spark.sql.parquet.aggregatePushdown": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
