@@ -1,7 +1,7 @@
 """Registry of every published relation and report: key -> (spark, sf_dir) -> DataFrame.
 
-Each call builds a fresh Workspace over the given test-data folder, so every
-query reads the whole test tables and its work grows with them.
+Every query reads the whole test tables of the given folder (through the
+session's Workspace for that folder), so its work grows with them.
 """
 
 from __future__ import annotations
@@ -17,9 +17,22 @@ from marginflow.plans.context import Workspace
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+_WORKSPACES: dict[tuple[int, str], Workspace] = {}
+
+
+def workspace(spark: SparkSession, sf_dir: str) -> Workspace:
+    """One workspace per session and test folder: the logical plans of the
+    shared models are built once and reused by every query (no data is
+    cached; each action re-reads the inputs)."""
+    key = (id(spark), sf_dir.rstrip("/"))
+    if key not in _WORKSPACES:
+        _WORKSPACES[key] = Workspace.from_testdata(spark, sf_dir)
+    return _WORKSPACES[key]
+
+
 def _ws(fn: Callable[[Workspace], DataFrame]) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Workspace.from_testdata(spark, sf_dir))
+        return fn(workspace(spark, sf_dir))
     run.__name__ = getattr(fn, "__name__", "query")
     run.__doc__ = fn.__doc__
     return run

@@ -65,3 +65,7 @@ class Workspace:
 
     def model(self, key: str, build: Callable[[], DataFrame]) -> DataFrame:
         return self._get("model:" + key, build)
+
+    def seed(self, key: str, df: DataFrame) -> None:
+        """Replace a memoised relation (e.g. by its materialised table)."""
+        self._memo[key] = df

@@ -20,6 +20,9 @@ _DEFAULTS = {
     "spark.sql.parquet.aggregatePushdown": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Python call-site capture for error context costs milliseconds per
+    # Column expression on the driver; plans here build thousands of them.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

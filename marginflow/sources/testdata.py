@@ -60,22 +60,34 @@ def platform_of(priority: Column) -> Column:
     return _mapping(priority, PLATFORM_BY_PRIORITY, PLATFORM_OTHER)
 
 
+# Read-only inputs: one relation (file listing, footer schema) and one row
+# count per path and session, shared by every workspace of that session.
+_RELATIONS: dict[tuple[int, str], DataFrame] = {}
+_COUNTS: dict[tuple[int, str], int] = {}
+
+
 class TestTables:
     """Lazy access to the parquet test tables of one scale-factor folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
-        self._counts: dict[str, int] = {}
+
+    def _key(self, name: str) -> tuple[int, str]:
+        return (id(self.spark), f"{self.sf_dir}/{name}.parquet")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        key = self._key(name)
+        if key not in _RELATIONS:
+            _RELATIONS[key] = self.spark.read.parquet(key[1])
+        return _RELATIONS[key]
 
     def row_count(self, name: str) -> int:
         """Row count of a test table (parquet footers; memoised)."""
-        if name not in self._counts:
-            self._counts[name] = self.table(name).count()
-        return self._counts[name]
+        key = self._key(name)
+        if key not in _COUNTS:
+            _COUNTS[key] = self.table(name).count()
+        return _COUNTS[key]
 
 
 def raw_clients(t: TestTables) -> DataFrame:

@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The modelled workload has no streams, watermarks, event-time windows or
+state: every model is refreshed by a full rebuild of its table
+(``marginflow.plans.pipeline.build_all``).  Incremental or streaming
+variants would be new behaviour, so none are provided.
+"""
