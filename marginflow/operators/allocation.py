@@ -7,8 +7,8 @@ share instead.
 
 Plan shape (no window function, so no entity is ever gathered in one task):
 
-* weight and cost are pre-aggregated to (entity, day) with map-side partial
-  aggregation, then rolled up to entity;
+* weight and cost arrive pre-aggregated to (entity, day) (map-side partial
+  aggregation) and are rolled up to entity from there;
 * ``daily`` = day weight LEFT JOIN day cost, both already hash-partitioned on
   (entity, day) by their aggregations;
 * facts LEFT JOIN daily on (entity, day): a sort-merge join whose skewed
@@ -40,27 +40,32 @@ class AllocationColumns:
     allocated: str = "internal_cost_eur"
 
 
-def allocation_inputs(facts: DataFrame, costs: DataFrame, *, entity: str, day: str,
-                      weight: str, cost: str, cols: AllocationColumns = AllocationColumns()):
-    """Return (day_weight, day_cost, total_weight, total_cost) aggregates."""
-    day_weight = facts.groupBy(entity, day).agg(F.sum(weight).alias(cols.day_weight))
-    day_cost = costs.groupBy(entity, day).agg(F.sum(cost).alias(cols.day_cost))
-    total_weight = facts.groupBy(entity).agg(F.sum(weight).alias(cols.total_weight))
-    total_cost = costs.groupBy(entity).agg(F.sum(cost).alias(cols.total_cost))
-    return day_weight, day_cost, total_weight, total_cost
+def daily_sum(df: DataFrame, entity: str, day: str, value: str, alias: str) -> DataFrame:
+    """(entity, day, sum(value)): partial aggregation map-side, so a hot
+    entity or day is collapsed before the shuffle."""
+    return df.groupBy(entity, day).agg(F.sum(value).alias(alias))
 
 
-def allocate_two_tier(facts: DataFrame, costs: DataFrame, *, entity: str = "client_id",
-                      day: str = "report_date", weight: str = "ad_spend_eur",
-                      cost: str = "total_cost_eur", entity_bound: int | None = None,
+def roll_up(daily: DataFrame, entity: str, value: str, alias: str) -> DataFrame:
+    """Entity totals from a daily aggregate (NULL days included).  Built on
+    the daily relation, so both share its exchange instead of re-reading
+    the facts."""
+    return daily.groupBy(entity).agg(F.sum(value).alias(alias))
+
+
+def allocate_two_tier(facts: DataFrame, day_weight: DataFrame, day_cost: DataFrame, *,
+                      entity: str = "client_id", day: str = "report_date",
+                      weight: str = "ad_spend_eur", entity_bound: int | None = None,
                       cols: AllocationColumns = AllocationColumns()) -> DataFrame:
-    day_weight, day_cost, total_weight, total_cost = allocation_inputs(
-        facts, costs, entity=entity, day=day, weight=weight, cost=cost, cols=cols)
-    keys_present = F.col(entity).isNotNull() & F.col(day).isNotNull()
-    daily = (day_weight.where(keys_present)
-             .join(day_cost.where(keys_present), [entity, day], "left"))
-    totals = (total_weight.where(F.col(entity).isNotNull())
-              .join(total_cost.where(F.col(entity).isNotNull()), entity, "left"))
+    """Allocate ``day_cost`` over ``facts`` by ``weight``.
+
+    ``day_weight``: (entity, day, cols.day_weight), the facts' weight summed
+    per entity and day; ``day_cost``: (entity, day, cols.day_cost).
+    """
+    total_weight = roll_up(day_weight, entity, cols.day_weight, cols.total_weight)
+    total_cost = roll_up(day_cost, entity, cols.day_cost, cols.total_cost)
+    daily = day_weight.join(day_cost, [entity, day], "left")
+    totals = total_weight.join(total_cost, entity, "left")
 
     joined = facts.join(daily, [entity, day], "left")
     joined = lookup_join(joined, totals, entity, "left", row_bound=entity_bound)

@@ -61,8 +61,15 @@ class Contract:
 
 
 def contract_summary(df: DataFrame, contract: Contract) -> DataFrame:
-    """One row per check: (model, check_name, violations)."""
-    parts: list[DataFrame] = []
+    """One row per check: (model, check_name, violations).
+
+    All checks of a contract are evaluated in a single pass over ``df``:
+    relationship keys are flagged through a lookup join against the
+    parents' distinct keys, rows are grouped once by the grain key (partial
+    aggregation map-side), and the groups are reduced to one row of counts,
+    which is unpivoted.  The model is therefore computed once, whatever the
+    number of checks.
+    """
     row_checks: dict[str, Column] = {}
     for c in contract.not_null:
         row_checks[f"not_null:{c}"] = F.col(c).isNull()
@@ -70,23 +77,37 @@ def contract_summary(df: DataFrame, contract: Contract) -> DataFrame:
         row_checks[f"expression:{name}"] = F.coalesce(~expr, F.lit(False))
     for name, pred in contract.violations.items():
         row_checks[f"singular:{name}"] = F.coalesce(pred, F.lit(False))
-    if row_checks:
-        names = list(row_checks)
-        counts = df.agg(*[F.count_if(cond).alias(f"c{i}") for i, cond in enumerate(row_checks.values())])
-        stacked = counts.select(F.explode(F.array(*[
-            F.struct(F.lit(n).alias("check_name"), F.col(f"c{i}").cast("bigint").alias("violations"))
-            for i, n in enumerate(names)])).alias("s")).select("s.*")
-        parts.append(stacked)
-    for cols in contract.unique:
-        dup = unique_combination(df, cols)
-        parts.append(dup.agg(F.count(F.lit(1)).alias("violations"))
-                     .select(F.lit("unique_combination:" + ",".join(cols)).alias("check_name"),
-                             "violations"))
-    for rel in contract.relationships:
-        orphans = relationships(df, rel.column, rel.parent, rel.parent_column, rel.parent_bound)
-        parts.append(orphans.agg(F.count(F.lit(1)).alias("violations"))
-                     .select(F.lit(f"relationships:{rel.column}").alias("check_name"), "violations"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+
+    rows = df
+    for i, rel in enumerate(contract.relationships):
+        flag = f"_orphan{i}"
+        keys = (rel.parent.select(F.col(rel.parent_column).alias(rel.column)).distinct()
+                .withColumn(flag, F.lit(False)))
+        rows = lookup_join(rows, keys, rel.column, "left", row_bound=rel.parent_bound)
+        row_checks[f"relationships:{rel.column}"] = (F.col(rel.column).isNotNull()
+                                                    & F.col(flag).isNull())
+    names = list(row_checks)
+    flags = rows.select(*[F.col(c) for c in (contract.unique[0] if contract.unique else [])],
+                        *[cond.cast("int").alias(f"c{i}") for i, cond in enumerate(row_checks.values())])
+    sums = [F.sum(f"c{i}").alias(f"c{i}") for i in range(len(names))]
+    if contract.unique:
+        grain = contract.unique[0]
+        groups = flags.groupBy(*grain).agg(F.count(F.lit(1)).alias("_n"), *sums)
+        totals = groups.agg(F.count_if(F.col("_n") > 1).alias("dup"),
+                            *[F.sum(f"c{i}").alias(f"c{i}") for i in range(len(names))])
+        names.append("unique_combination:" + ",".join(grain))
+        cols = [f"c{i}" for i in range(len(names) - 1)] + ["dup"]
+    else:
+        totals = flags.agg(*sums)
+        cols = [f"c{i}" for i in range(len(names))]
+    stacked = totals.select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("check_name"),
+                 F.coalesce(F.col(c).cast("bigint"), F.lit(0).cast("bigint")).alias("violations"))
+        for n, c in zip(names, cols)])).alias("s")).select("s.*")
+    out = stacked
+    for extra in contract.unique[1:]:
+        dup = unique_combination(df, extra)
+        out = out.unionByName(dup.agg(F.count(F.lit(1)).alias("violations"))
+                              .select(F.lit("unique_combination:" + ",".join(extra)).alias("check_name"),
+                                      "violations"))
     return out.select(F.lit(contract.model).alias("model"), "check_name", "violations")

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from marginflow.functions.numeric import r2, ratio
 from marginflow.operators.aggregates import sum_if
-from marginflow.operators.allocation import AllocationColumns, allocate_two_tier, allocation_branch
+from marginflow.operators.allocation import (AllocationColumns, allocate_two_tier, allocation_branch,
+                                             daily_sum, roll_up)
 from marginflow.operators.joins import lookup_join
 from marginflow.plans.context import Workspace
 
@@ -92,16 +93,13 @@ def campaign_performance(ws: Workspace) -> DataFrame:
 
 def _allocated(ws: Workspace) -> DataFrame:
     def build():
-        costs = client_projects_with_time(ws).select("client_id", "report_date", "total_cost_eur")
-        return allocate_two_tier(campaign_performance(ws), costs, entity="client_id",
+        return allocate_two_tier(campaign_performance(ws), client_day_ad_spend(ws),
+                                 client_day_internal_cost(ws), entity="client_id",
                                  day="report_date", weight="ad_spend_eur",
-                                 cost="total_cost_eur", entity_bound=ws.bound("clients"))
+                                 entity_bound=ws.bound("clients"))
     return ws.model("allocated", build)
 
 
-ALLOC = AllocationColumns()
-
-
 def campaign_profitability(ws: Workspace) -> DataFrame:
     """Campaign-day profitability: full (with allocated internal cost) and media-only."""
     def build():
@@ -129,26 +127,33 @@ def campaign_profitability(ws: Workspace) -> DataFrame:
     return ws.model("campaign_profitability", build)
 
 
-# -- the allocation building blocks as standalone relations ------------------
+# -- the allocation building blocks ------------------------------------------
+#
+# Day weights and day costs are summed straight from a narrow projection of
+# the cleansed facts (three columns), not from the operational models: the
+# campaign, client and project lookups are unique on their keys (checked by
+# ``dq_cleansing_keys``), so they change no sum, and a second pass over the
+# wide, joined and aggregated models would cost as much as building them.
 
-def client_day_internal_cost(ws: Workspace) -> DataFrame:
-    return (client_projects_with_time(ws).groupBy("client_id", "report_date")
-            .agg(F.sum("total_cost_eur").alias(ALLOC.day_cost)))
+ALLOC = AllocationColumns()
 
 
 def client_day_ad_spend(ws: Workspace) -> DataFrame:
-    return (campaign_performance(ws).groupBy("client_id", "report_date")
-            .agg(F.sum("ad_spend_eur").alias(ALLOC.day_weight)))
+    return ws.model("client_day_ad_spend", lambda: daily_sum(
+        ws.cl("ad_metrics"), "client_id", "report_date", "spend_eur", ALLOC.day_weight))
 
 
-def client_total_internal_cost(ws: Workspace) -> DataFrame:
-    return (client_projects_with_time(ws).groupBy("client_id")
-            .agg(F.sum("total_cost_eur").alias(ALLOC.total_cost)))
+def client_day_internal_cost(ws: Workspace) -> DataFrame:
+    return ws.model("client_day_internal_cost", lambda: daily_sum(
+        ws.cl("time_tracking"), "client_id", "report_date", "cost_eur", ALLOC.day_cost))
 
 
 def client_total_ad_spend(ws: Workspace) -> DataFrame:
-    return (campaign_performance(ws).groupBy("client_id")
-            .agg(F.sum("ad_spend_eur").alias(ALLOC.total_weight)))
+    return roll_up(client_day_ad_spend(ws), "client_id", ALLOC.day_weight, ALLOC.total_weight)
+
+
+def client_total_internal_cost(ws: Workspace) -> DataFrame:
+    return roll_up(client_day_internal_cost(ws), "client_id", ALLOC.day_cost, ALLOC.total_cost)
 
 
 def internal_cost_allocation(ws: Workspace) -> DataFrame:

@@ -5,7 +5,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from marginflow.operators.allocation import AllocationColumns, allocate_two_tier, allocation_branch
+from marginflow.operators.allocation import (AllocationColumns, allocate_two_tier, allocation_branch,
+                                             daily_sum)
 
 D1, D2, D0 = dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2023, 12, 1)
 
@@ -30,8 +31,11 @@ def allocated(spark):
         ("B", D0, 80.0),
         ("D", D1, 9.0),
     ], "client_id string, report_date date, total_cost_eur double")
-    out = allocate_two_tier(facts, costs, entity_bound=10)
-    return out.withColumn("branch", allocation_branch(AllocationColumns())).cache()
+    cols = AllocationColumns()
+    day_weight = daily_sum(facts, "client_id", "report_date", "ad_spend_eur", cols.day_weight)
+    day_cost = daily_sum(costs, "client_id", "report_date", "total_cost_eur", cols.day_cost)
+    out = allocate_two_tier(facts, day_weight, day_cost, entity_bound=10)
+    return out.withColumn("branch", allocation_branch(cols)).cache()
 
 
 def _rows(df, **eq):
