@@ -15,6 +15,10 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot join key even when the join's partitioning feeds a grouping
+    # on the same key (unified ad metrics): AQE then adds the extra exchange,
+    # but only when it measured skew.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Footer-level COUNT/MIN/MAX for the cheap row bounds used before
     # broadcasting (see operators.joins).
     "spark.sql.parquet.aggregatePushdown": "true",
