@@ -116,9 +116,10 @@ def client_performance_dashboard(ws: Workspace) -> DataFrame:
     and repeat across platforms and windows: never sum them downstream."""
     def build():
         paid = client_paid_blended(ws)
-        bound = ws.bound("clients")
-        j = lookup_join(paid, client_internal_totals(ws), "client_id", "left", bound)
-        j = lookup_join(j, client_social_pivot(ws), "client_id", "left", bound)
+        # internal totals: one row per client of the time facts; social: one
+        # row per client that resolved through the clients dimension (inner).
+        j = lookup_join(paid, client_internal_totals(ws), "client_id", "left", ws.bound("client_facts"))
+        j = lookup_join(j, client_social_pivot(ws), "client_id", "left", ws.bound("clients"))
         profit, internal = F.col("media_only_profit_eur_client"), F.col("total_internal_cost_eur")
         both = profit.isNotNull() & internal.isNotNull()
         net = F.when(both, r2(profit - internal))

@@ -31,6 +31,9 @@ class Workspace:
         builders = {name: (lambda fn=fn: fn(t)) for name, fn in testdata.BUILDERS.items()}
         bounds = {name: (lambda tbl=tbl: t.row_count(tbl))
                   for name, tbl in testdata.ROW_BOUND_TABLE.items()}
+        # The adapter inner-joins every fact row to customer, so per-client
+        # aggregates of the facts have at most one row per customer.
+        bounds["client_facts"] = lambda: t.row_count("customer")
         return cls(spark, builders, bounds)
 
     @classmethod
@@ -42,6 +45,9 @@ class Workspace:
         # for parquet).  They bound every lookup and per-client aggregate.
         ws._bound_fns = {name: (lambda n=name: ws.raw(n).count())
                          for name in ("campaigns", "clients", "employees", "projects") if name in paths}
+        # Fact client ids may be orphans here, so per-client aggregates of the
+        # facts have no proven bound ("client_facts" stays unknown): their
+        # joins are left to Spark, and AQE broadcasts them from measured sizes.
         return ws
 
     # -- access -----------------------------------------------------------
@@ -57,7 +63,8 @@ class Workspace:
         return self._get("cl:" + name, lambda: CLEANSERS[name](self.raw(name)))
 
     def bound(self, name: str) -> int | None:
-        """Proven upper bound on the rows of a dimension (None: unknown)."""
+        """Proven upper bound on the rows of a dimension, or of per-client
+        aggregates of the facts ("client_facts"); None when unknown."""
         if name not in self._bounds:
             fn = self._bound_fns.get(name)
             self._bounds[name] = fn() if fn else None

@@ -96,7 +96,7 @@ def _allocated(ws: Workspace) -> DataFrame:
         return allocate_two_tier(campaign_performance(ws), client_day_ad_spend(ws),
                                  client_day_internal_cost(ws), entity="client_id",
                                  day="report_date", weight="ad_spend_eur",
-                                 entity_bound=ws.bound("clients"))
+                                 entity_bound=ws.bound("client_facts"))
     return ws.model("allocated", build)
 
 
