@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from marginflow.plans import analysis, business, contracts, operational
 from marginflow.plans.context import Workspace
+from marginflow.session import apply_runtime_defaults
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +27,7 @@ def workspace(spark: SparkSession, sf_dir: str) -> Workspace:
     cached; each action re-reads the inputs)."""
     key = (id(spark), sf_dir.rstrip("/"))
     if key not in _WORKSPACES:
+        apply_runtime_defaults(spark)
         _WORKSPACES[key] = Workspace.from_testdata(spark, sf_dir)
     return _WORKSPACES[key]
 

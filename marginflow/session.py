@@ -48,6 +48,22 @@ def get_session(master: str | None = None, app_name: str = "marginflow",
     return spark
 
 
+# Performance-only runtime settings (no effect on results), applied to any
+# session handed to the query catalogue, including one built elsewhere.
+RUNTIME_DEFAULTS = {k: v for k, v in _DEFAULTS.items()
+                    if k.startswith("spark.sql.adaptive.") or k in (
+                        "spark.sql.parquet.aggregatePushdown",
+                        "spark.python.sql.dataFrameDebugging.enabled")}
+
+
+def apply_runtime_defaults(spark: SparkSession) -> None:
+    for key, value in RUNTIME_DEFAULTS.items():
+        try:
+            spark.conf.set(key, value)
+        except Exception:  # noqa: BLE001 - static or unknown in this deployment
+            pass
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting it on the context.
 
