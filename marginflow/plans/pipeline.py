@@ -57,3 +57,33 @@ def build_all(ws: Workspace, out_dir: str, run_checks: bool = True) -> dict[str,
     if run_checks:
         publish("dq_summary", contracts.summary(ws))
     return paths
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m marginflow.plans.pipeline --sf-dir DIR --out DIR`` (test tables), or
+    ``--raw name=path ...`` for real raw sources (parquet; ``--format csv`` for CSV)."""
+    import argparse
+    import json
+
+    from marginflow.session import get_session
+
+    ap = argparse.ArgumentParser(description="Full rebuild of every layer")
+    ap.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
+    ap.add_argument("--sf-dir", help="folder with the TPC-H-style test tables")
+    ap.add_argument("--raw", nargs="*", default=[], help="raw sources as name=path")
+    ap.add_argument("--format", default="parquet", choices=["parquet", "csv"])
+    ap.add_argument("--master", default=None)
+    ap.add_argument("--no-checks", action="store_true")
+    args = ap.parse_args(argv)
+    spark = get_session(master=args.master)
+    if args.raw:
+        ws = Workspace.from_sources(spark, dict(a.split("=", 1) for a in args.raw), args.format)
+    elif args.sf_dir:
+        ws = Workspace.from_testdata(spark, args.sf_dir)
+    else:
+        ap.error("give --sf-dir or --raw")
+    print(json.dumps(build_all(ws, args.out, run_checks=not args.no_checks), indent=2))
+
+
+if __name__ == "__main__":
+    main()
