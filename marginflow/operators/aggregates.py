@@ -33,10 +33,3 @@ def count_distinct_if(cond: Column, value) -> Column:
 def month_start(c) -> Column:
     """First day of the month, as a DATE."""
     return F.trunc(_col(c).cast("date"), "month")
-
-
-def productive_split(flag: str, value: str, prefix: str, suffix: str = "") -> list[Column]:
-    """[sum of value where flag, sum of value where NOT flag]; NULL flags in neither."""
-    f = F.col(flag)
-    return [sum_if(f, value).alias(f"{prefix}productive{suffix}"),
-            sum_if(~f, value).alias(f"{prefix}non_productive{suffix}")]

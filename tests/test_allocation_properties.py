@@ -4,7 +4,6 @@ import datetime as dt
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from marginflow.operators.allocation import AllocationColumns, allocate_two_tier, daily_sum
 

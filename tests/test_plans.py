@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from marginflow.operators.joins import fits_broadcast, lookup_join
 from marginflow.plans import business, operational
-from tests.conftest import SF_SMALL
 
 
 @contextmanager
