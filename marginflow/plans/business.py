@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marginflow.functions.numeric import r2, r4, ratio
-from marginflow.operators.aggregates import avg_if, count_distinct_if, max_if, month_start, sum_if
+from marginflow.operators.aggregates import max_if, month_start, sum_if
 from marginflow.operators.joins import lookup_join
 from marginflow.plans.context import Workspace
 from marginflow.plans.operational import (campaign_profitability, client_lookup,
@@ -83,21 +83,41 @@ def social_with_client(ws: Workspace) -> DataFrame:
 
 
 def client_social_pivot(ws: Workspace) -> DataFrame:
-    """Organic social per client, one column block per channel."""
+    """Organic social per client, one column block per channel.
+
+    Two plain aggregations instead of three distinct counts (which Spark
+    would plan as an Expand multiplying every row): first per client and
+    day, where each channel keeps its sum, value count and maximum (a hot
+    page collapses map-side), then per client.  Days are counted as the
+    non-NULL (client, day) groups, per channel the groups where it appears.
+    """
     def build():
         s = social_with_client(ws)
-        aggs = [F.countDistinct("report_date").alias("n_report_days_social")]
+        daily = []
         for ch in SOCIAL_CHANNELS:
-            aggs.append(count_distinct_if(F.col("platform") == ch, "report_date")
-                        .alias(f"n_report_days_{ch.lower()}"))
+            on, sfx = F.col("platform") == ch, ch.lower()
+            daily.append(F.max(on).alias(f"_seen_{sfx}"))
+            for m in ("new_followers", "engaged_users", "website_clicks"):
+                daily.append(sum_if(on, m).alias(f"_sum_{m}_{sfx}"))
+                daily.append(F.count(F.when(on, F.col(m))).alias(f"_n_{m}_{sfx}"))
+            daily.append(max_if(on, "total_followers").alias(f"_max_{sfx}"))
+        per_day = s.groupBy("client_id", "report_date").agg(*daily)
+        dated = F.col("report_date").isNotNull()
+        aggs = [F.count("report_date").alias("n_report_days_social")]
+        for ch in SOCIAL_CHANNELS:
+            sfx = ch.lower()
+            aggs.append(F.count_if(dated & F.col(f"_seen_{sfx}")).alias(f"n_report_days_{sfx}"))
         for ch in SOCIAL_CHANNELS:
-            on = F.col("platform") == ch
             sfx = ch.lower()
             for m in ("new_followers", "engaged_users", "website_clicks"):
-                aggs.append(sum_if(on, m).alias(f"total_{m}_{sfx}"))
-                aggs.append(r2(avg_if(on, m)).alias(f"avg_daily_{m}_{sfx}"))
-            aggs.append(max_if(on, "total_followers").alias(f"current_total_followers_{sfx}"))
-        return s.groupBy("client_id").agg(*aggs)
+                total, n = F.sum(f"_sum_{m}_{sfx}"), F.sum(f"_n_{m}_{sfx}")
+                aggs.append(total.alias(f"total_{m}_{sfx}"))
+                # average over the channel's non-NULL rows: sum / count of the
+                # rows that have a value (sum_if adds 0 for the others)
+                aggs.append(r2(ratio(F.sum(F.when(F.col(f"_n_{m}_{sfx}") > 0, F.col(f"_sum_{m}_{sfx}"))), n))
+                            .alias(f"avg_daily_{m}_{sfx}"))
+            aggs.append(F.max(f"_max_{sfx}").alias(f"current_total_followers_{sfx}"))
+        return per_day.groupBy("client_id").agg(*aggs)
     return ws.model("client_social_pivot", build)
 
 
