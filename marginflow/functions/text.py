@@ -19,24 +19,33 @@ JUNK_TAG_PREFIXES = ("#n/a", "gern am mammaly")
 # -----------------------------------------------------------------------------
 
 NON_ASCII = r"[^\x00-\x7F]"
+# Leading/trailing Unicode space separators (category Zs: U+0020, no-break
+# space, em space, ideographic space, ...), the set the target engine's trim
+# removes; Spark's trim() removes U+0020 only.  Tabs and newlines stay.
+EDGE_SPACES = r"^\p{Zs}+|\p{Zs}+$"
 
 
 def trimmed(c) -> Column:
-    return F.trim(_col(c))
+    """Strip edge space separators.  Fast path: a plain ``trim``; the regex
+    only runs when what is left begins or ends with a non-ASCII character
+    (its UTF-8 sorts above U+007F), which is rare."""
+    t = F.trim(_col(c))
+    edge_non_ascii = (F.substring(t, 1, 1) > F.lit("\x7f")) | (F.substring(t, -1, 1) > F.lit("\x7f"))
+    return F.when(edge_non_ascii, F.regexp_replace(t, EDGE_SPACES, "")).otherwise(t)
 
 
 def blank_to_null(c) -> Column:
     """trim, then '' -> NULL."""
-    return F.nullif(F.trim(_col(c)), F.lit(""))
+    return F.nullif(trimmed(c), F.lit(""))
 
 
 def upper_blank_to_null(c) -> Column:
-    return F.nullif(F.upper(F.trim(_col(c))), F.lit(""))
+    return F.nullif(F.upper(trimmed(c)), F.lit(""))
 
 
 def strip_non_ascii(c) -> Column:
     """Remove every non-ASCII code point (emoji, variation selectors, ZWJ),
-    then trim."""
+    then trim (only ASCII spaces can remain)."""
     return F.trim(F.regexp_replace(_col(c), NON_ASCII, ""))
 
 

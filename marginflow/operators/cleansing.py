@@ -72,7 +72,7 @@ def cleanse_employees(raw: DataFrame) -> DataFrame:
         blank_to_null("department_name").alias("department_name"),
         blank_to_null("team_name").alias("team_name"),
         _d("hourly_rate_eur").alias("hourly_rate_eur"),
-        F.upper(F.trim(F.col("status"))).alias("status"),
+        F.upper(trimmed("status")).alias("status"),
     )
 
 

@@ -85,3 +85,16 @@ def test_status_upper_blank(spark):
 def test_rounding_helper_is_not_nan_safe_issue(spark):
     got = _one(spark, [float("inf")], r2)
     assert math.isinf(got[0]) or got[0] is None
+
+
+SPACE_PROBES = [0x20, 0xA0, 0x1680, 0x2000, 0x2003, 0x200A, 0x202F, 0x205F, 0x3000, 0x09, 0x0A,
+                0x0D, 0x85, 0x200B, 0xFEFF, 0x2028]
+
+
+def test_trim_matches_duckdb_per_code_point(spark):
+    from marginflow.functions import trimmed
+    vals = [chr(c) + "ab" + chr(c) + " c" + chr(c) for c in SPACE_PROBES]
+    ours = _one(spark, vals, trimmed, "string")
+    con = duckdb.connect()
+    theirs = [con.execute("SELECT trim(?)", [v]).fetchone()[0] for v in vals]
+    assert ours == theirs
