@@ -18,7 +18,8 @@ def _one(spark, values, expr_fn, dtype="double"):
     return [r[0] for r in df.select(expr_fn(F.col("x")).alias("y")).collect()]
 
 
-ROUNDING_EDGES = [1.005, 2.675, 0.285, 0.125, -2.5, -0.125, 1234.5678, 0.0, 2.5, 3.5, -1.005]
+ROUNDING_EDGES = [1.005, 2.675, 0.285, 0.125, -2.5, -0.125, 1234.5678, 0.0, 2.5, 3.5, -1.005,
+                  -0.004, -0.00004, 0.004, -0.0, -0.005, -0.00005]
 
 
 def test_round_half_away_matches_duckdb(spark):
@@ -32,7 +33,8 @@ def test_round_half_away_matches_duckdb(spark):
         theirs = [r[0] for r in con.execute(
             f"SELECT round(x, {digits}) FROM (SELECT unnest(?) AS x, generate_subscripts(?, 1) AS i) ORDER BY i",
             [values, values]).fetchall()]
-        bad = [(v, a, b) for v, a, b in zip(values, ours, theirs) if a != b]
+        bad = [(v, a, b) for v, a, b in zip(values, ours, theirs)
+               if a != b or math.copysign(1, a) != math.copysign(1, b)]
         assert not bad, bad[:5]
 
 
