@@ -19,8 +19,9 @@ _DEFAULTS = {
     # on the same key (unified ad metrics): AQE then adds the extra exchange,
     # but only when it measured skew.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Footer-level COUNT/MIN/MAX for the cheap row bounds used before
-    # broadcasting (see operators.joins).
+    # COUNT/MIN/MAX from parquet footers where parquet is read through the
+    # v2 source; with the v1 source the row-bound counts (operators.joins)
+    # already read no column (empty read schema, row-group metadata only).
     "spark.sql.parquet.aggregatePushdown": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
