@@ -83,3 +83,13 @@ def test_real_sources_path_gives_same_models(spark, tmp_path, ws_small):
     b = business.client_performance_dashboard(ws_small)
     assert a.count() == b.count() > 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_build_all_checks_read_written_tables(spark, tmp_path):
+    ws = Workspace.from_testdata(spark, "/root/testdata/sf0.001")
+    paths = build_all(ws, str(tmp_path / "wh2"), run_checks=False)
+    from marginflow.plans import contracts
+    plan = contracts.summary(ws, models=["bl_resource_utilization"])._jdf.queryExecution() \
+        .optimizedPlan().toString()
+    assert paths["bl_resource_utilization"].split("/")[-1] in plan
+    assert "lineitem" not in plan
