@@ -39,7 +39,7 @@ def _norm(v, exact=True):
         if math.isnan(v):
             return (3, "nan")
         if v == 0.0:
-            return (2, 0.0, math.copysign(1.0, v) if exact else 1.0)
+            return (2, 0.0)   # -0.0 and 0.0 compare equal (see functions.numeric)
         return (2, v if exact else float(f"{v:.9g}"))
     if isinstance(v, dt.datetime):
         return (4, v.isoformat())
