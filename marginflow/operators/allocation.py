@@ -65,7 +65,7 @@ def allocate_two_tier(facts: DataFrame, day_weight: DataFrame, day_cost: DataFra
     total_weight = roll_up(day_weight, entity, cols.day_weight, cols.total_weight)
     total_cost = roll_up(day_cost, entity, cols.day_cost, cols.total_cost)
     daily = day_weight.join(day_cost, [entity, day], "left")
-    totals = total_weight.join(total_cost, entity, "left")
+    totals = lookup_join(total_weight, total_cost, entity, "left", row_bound=entity_bound)
 
     joined = facts.join(daily, [entity, day], "left")
     joined = lookup_join(joined, totals, entity, "left", row_bound=entity_bound)
