@@ -103,3 +103,29 @@ def test_hot_key_is_split_by_aqe(spark):
         assert "skew=true" in plan, plan
         assert out.count() == n
         assert out.where(F.col("campaign_id") == "hot").count() == n // 3
+
+
+def test_building_models_runs_no_jobs(spark):
+    """Model construction is lazy: once the inputs are opened (parquet schema
+    inference runs a small footer-reading job per file) and the row bounds
+    are known, building every model and the contract suite submits no job."""
+    from marginflow.plans import contracts
+    from marginflow.plans.context import Workspace
+    from marginflow.sources.testdata import TABLES, TestTables
+    tables = TestTables(spark, "/root/testdata/sf0.001")
+    for t in TABLES:
+        tables.table(t)
+    ws = Workspace.from_testdata(spark, "/root/testdata/sf0.001")
+    for n in ("campaigns", "clients", "employees", "projects", "client_facts"):
+        ws.bound(n)
+    sc = spark.sparkContext
+    sc.setJobGroup("mf-build-only", "model construction")
+    try:
+        business.client_performance_dashboard(ws)
+        business.monthly_campaign_cohorts(ws)
+        business.resource_utilization(ws)
+        contracts.summary(ws)
+        jobs = list(sc.statusTracker().getJobIdsForGroup("mf-build-only"))
+    finally:
+        sc.setJobGroup(None, None)
+    assert jobs == []
