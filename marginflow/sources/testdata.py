@@ -47,6 +47,22 @@ BACKDATED_OTHER = _dt.date(1994, 7, 1)
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events")
 
+# Declared schemas of the test tables (the same at every scale factor), so a
+# read needs no schema-inference job.
+TEST_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 
 def _mapping(col: Column, mapping: dict, default=None) -> Column:
     expr = None
@@ -79,7 +95,10 @@ class TestTables:
     def table(self, name: str) -> DataFrame:
         key = self._key(name)
         if key not in _RELATIONS:
-            _RELATIONS[key] = self.spark.read.parquet(key[1])
+            reader = self.spark.read
+            if name in TEST_SCHEMAS:
+                reader = reader.schema(TEST_SCHEMAS[name])
+            _RELATIONS[key] = reader.parquet(key[1])
         return _RELATIONS[key]
 
     def row_count(self, name: str) -> int:
