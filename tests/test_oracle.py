@@ -78,3 +78,16 @@ def test_allocation_invariants_sf001(spark):
     lifetime_only = per_client.where((F.col("n_daily") == 0) & (F.col("n_cost_days") == 0) & (F.col("n_life") > 0))
     bad2 = lifetime_only.where(F.abs(F.col("alloc") - F.col("total")) > 1e-6 * F.greatest(F.lit(1.0), F.col("total")))
     assert lifetime_only.count() > 0 and bad2.count() == 0
+
+
+def test_fixture_anchors_sf0001(spark):
+    """Row counts stated for the sf0.001 fixture mapping."""
+    q = lambda n: QUERIES[n](spark, SF_SMALL)
+    assert q("ol_unified_ad_metrics").count() == 5998
+    assert q("ol_client_projects_with_time").count() == 1495
+    assert q("bl_client_performance_dashboard").count() == 1461
+    assert q("bl_monthly_campaign_cohorts").count() == 5817
+    assert q("bl_resource_utilization").count() == 1460
+    branches = {r[0]: r[1] for r in q("internal_cost_allocation").groupBy("allocation_branch").count().collect()}
+    assert (branches["daily"], branches["lifetime"], branches["no_cost"],
+            branches["cost_day_without_spend"]) == (1322, 3952, 664, 60)
