@@ -47,12 +47,3 @@ def ratio(numerator, denominator) -> Column:
     """
     den = _col(denominator)
     return F.when(den > 0, _col(numerator).cast("double") / den)
-
-
-def when_all_present(value: Column, *cols) -> Column:
-    """``value`` when every column in ``cols`` is non-NULL, else NULL."""
-    cond = None
-    for c in cols:
-        part = _col(c).isNotNull()
-        cond = part if cond is None else (cond & part)
-    return F.when(cond, value)

@@ -79,8 +79,10 @@ def key_string(c) -> Column:
 def float_key_string(c) -> Column:
     """Nullable float-formatted foreign key (102.0) -> '102'; NULL stays NULL.
 
-    Rounds half-to-even like a double -> integer cast in the target engine
-    (Spark's cast truncates), and goes through bigint so ids beyond the int
-    range survive.
+    Whole numbers and keys that are no numbers stay as they are.  Fractions
+    round half-to-even like a double -> integer cast in the target engine
+    (Spark's cast truncates), in decimals, so long ids keep every digit.
     """
-    return F.rint(_col(c).cast("double")).cast("bigint").cast("string")
+    text = F.trim(_col(c).cast("string"))
+    number = F.bround(text.try_cast("decimal(38,10)"), 0).cast("decimal(38,0)").cast("string")
+    return F.when(text.rlike(r"^[+-]?\d+$"), text).otherwise(F.coalesce(number, text))

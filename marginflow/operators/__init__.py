@@ -1,15 +1,12 @@
-from marginflow.operators.aggregates import (avg_if, count_distinct_if, max_if, month_start,
-                                             sum_if)
+from marginflow.operators.aggregates import max_if, month_start, sum_if
 from marginflow.operators.allocation import AllocationColumns, allocate_two_tier
 from marginflow.operators.cleansing import CLEANSERS
-from marginflow.operators.joins import fits_broadcast, lookup_join
-from marginflow.operators.quality import (Contract, Relationship, contract_summary,
-                                          expression_is_true, not_null, relationships,
+from marginflow.operators.joins import spread_nulls
+from marginflow.operators.quality import (Contract, Relationship, contract_summary, relationships,
                                           unique_combination)
 
 __all__ = [
-    "avg_if", "count_distinct_if", "max_if", "month_start", "sum_if",
-    "AllocationColumns", "allocate_two_tier", "CLEANSERS", "fits_broadcast", "lookup_join",
-    "Contract", "Relationship", "contract_summary", "expression_is_true", "not_null",
-    "relationships", "unique_combination",
+    "max_if", "month_start", "sum_if", "AllocationColumns", "allocate_two_tier", "CLEANSERS",
+    "spread_nulls", "Contract", "Relationship", "contract_summary", "relationships",
+    "unique_combination",
 ]

@@ -1,8 +1,8 @@
 """Aggregate-expression helpers with explicit NULL semantics.
 
 ``sum_if`` adds 0 for non-matching rows (result 0 when nothing matches),
-``avg_if`` / ``max_if`` ignore them (NULL when nothing matches); a NULL
-condition counts as not matching in both.  All are built-in aggregates, so
+``max_if`` ignores them (NULL when nothing matches); a NULL condition counts
+as not matching in both.  All are built-in aggregates, so
 Spark plans a partial (map-side) aggregate before every shuffle.
 """
 
@@ -18,18 +18,10 @@ def sum_if(cond: Column, value) -> Column:
     return F.sum(F.when(cond, _col(value)).otherwise(F.lit(0)))
 
 
-def avg_if(cond: Column, value) -> Column:
-    return F.avg(F.when(cond, _col(value)))
-
-
 def max_if(cond: Column, value) -> Column:
     return F.max(F.when(cond, _col(value)))
 
 
-def count_distinct_if(cond: Column, value) -> Column:
-    return F.countDistinct(F.when(cond, _col(value)))
-
-
 def month_start(c) -> Column:
     """First day of the month, as a DATE."""
     return F.trunc(_col(c).cast("date"), "month")

@@ -8,13 +8,13 @@ share instead.
 Plan shape (no window function, so no entity is ever gathered in one task):
 
 * weight and cost arrive pre-aggregated to (entity, day) (map-side partial
-  aggregation) and are rolled up to entity from there;
-* ``daily`` = day weight LEFT JOIN day cost, both already hash-partitioned on
-  (entity, day) by their aggregations;
+  aggregation); the lifetime totals roll the same relations up, and because
+  the day is compared null-safely, no filter tells the two uses apart: Spark
+  reuses one exchange for both;
 * facts LEFT JOIN daily on (entity, day): a sort-merge join whose skewed
   partitions AQE splits, or a broadcast when AQE measures ``daily`` small;
-* facts LEFT JOIN totals on entity: one row per entity, broadcast behind a
-  proven bound on the number of entities.
+* facts LEFT JOIN totals on entity: one row per entity, broadcast only if
+  Spark measures it small.
 
 Equi-joins never match NULL keys: a fact row with a NULL day gets no day
 values (lifetime tier only) and a NULL entity gets nothing.
@@ -27,8 +27,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marginflow.operators.joins import lookup_join
-
 
 @dataclass(frozen=True)
 class AllocationColumns:
@@ -55,7 +53,7 @@ def roll_up(daily: DataFrame, entity: str, value: str, alias: str) -> DataFrame:
 
 def allocate_two_tier(facts: DataFrame, day_weight: DataFrame, day_cost: DataFrame, *,
                       entity: str = "client_id", day: str = "report_date",
-                      weight: str = "ad_spend_eur", entity_bound: int | None = None,
+                      weight: str = "ad_spend_eur",
                       cols: AllocationColumns = AllocationColumns()) -> DataFrame:
     """Allocate ``day_cost`` over ``facts`` by ``weight``.
 
@@ -64,11 +62,13 @@ def allocate_two_tier(facts: DataFrame, day_weight: DataFrame, day_cost: DataFra
     """
     total_weight = roll_up(day_weight, entity, cols.day_weight, cols.total_weight)
     total_cost = roll_up(day_cost, entity, cols.day_cost, cols.total_cost)
-    daily = day_weight.join(day_cost, [entity, day], "left")
-    totals = lookup_join(total_weight, total_cost, entity, "left", row_bound=entity_bound)
-
-    joined = facts.join(daily, [entity, day], "left")
-    joined = lookup_join(joined, totals, entity, "left", row_bound=entity_bound)
+    totals = total_weight.join(total_cost, entity, "left")
+    cost = day_cost.select(F.col(entity).alias("_entity"), F.col(day).alias("_day"), cols.day_cost)
+    daily = (day_weight.join(cost, (F.col(entity) == F.col("_entity")) & F.col(day).eqNullSafe(F.col("_day")), "left")
+             .select(F.col(entity).alias("_of"), F.col(day).alias("_on"), cols.day_weight, cols.day_cost))
+    same_day = F.col(day).eqNullSafe(F.col("_on")) & F.col(day).isNotNull()
+    joined = facts.join(daily, (F.col(entity) == F.col("_of")) & same_day, "left").drop("_of", "_on")
+    joined = joined.join(totals, entity, "left")
 
     w = F.col(weight)
     share = F.when(F.col(cols.day_weight) > 0, w / F.col(cols.day_weight))

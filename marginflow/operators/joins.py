@@ -1,53 +1,25 @@
-"""Lookup joins with a size-checked broadcast.
+"""Lookup joins.
 
-A lookup side is broadcast only when a proven upper bound on its row count,
-times an estimated row width, fits under the session's
-``spark.sql.autoBroadcastJoinThreshold``.  Otherwise the join is left to
-Spark: a sort-merge join whose hot keys AQE splits
-(``spark.sql.adaptive.skewJoin.enabled``), and which AQE may still turn into
-a broadcast from measured (not estimated) shuffle sizes.
+No side is hinted: Spark broadcasts a side whose size it knows from file
+statistics or has measured (AQE) to be under
+``spark.sql.autoBroadcastJoinThreshold``, and AQE splits hot keys of the
+sort-merge joins otherwise.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-_WIDTH = {
-    T.StringType: 48, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8,
-    T.TimestampNTZType: 8, T.IntegerType: 4, T.DateType: 4, T.BooleanType: 1,
-}
-_ROW_OVERHEAD = 16
+# Parts over which rows without a key are dealt.
+NULL_PARTS = 1024
 
 
-def estimated_row_bytes(schema: T.StructType) -> int:
-    return _ROW_OVERHEAD + sum(_WIDTH.get(type(f.dataType), 32) for f in schema.fields)
-
-
-def broadcast_limit_bytes(spark: SparkSession) -> int:
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        return int(raw)
-    except ValueError:  # e.g. "10MB"
-        units = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-        s = raw.strip().lower().rstrip("b") or "0"
-        mult = units.get(s[-1], 1)
-        return int(float(s[:-1] if s[-1] in units else s) * mult)
-
-
-def fits_broadcast(df: DataFrame, row_bound: int | None) -> bool:
-    """True when ``row_bound`` rows of ``df``'s schema fit the threshold."""
-    if row_bound is None:
-        return False
-    limit = broadcast_limit_bytes(df.sparkSession)
-    if limit <= 0:
-        return False
-    return row_bound * estimated_row_bytes(df.schema) <= limit
-
-
-def lookup_join(fact: DataFrame, lookup: DataFrame, on, how: str = "left",
-                row_bound: int | None = None) -> DataFrame:
-    """Join ``fact`` to ``lookup``; broadcast the lookup behind a size check."""
-    right = F.broadcast(lookup) if fits_broadcast(lookup, row_bound) else lookup
-    return fact.join(right, on, how)
+def spread_nulls(fact: DataFrame, lookup: DataFrame, key: str, by: list[str]) -> DataFrame:
+    """Left join of ``lookup`` (string ``key``) that deals the fact rows with a
+    NULL key by a hash of the columns ``by``: as one join key they would all
+    meet in one task.  They match nothing, as before."""
+    part = F.concat(F.lit("\x00"), F.pmod(F.xxhash64(*by), F.lit(NULL_PARTS)).cast("string"))
+    other = lookup.withColumnRenamed(key, "_lookup_key")
+    dealt = fact.withColumn("_fact_key", F.coalesce(F.col(key), part))
+    return dealt.join(other, F.col("_fact_key") == F.col("_lookup_key"), "left").drop("_fact_key", "_lookup_key")

@@ -4,6 +4,7 @@ Each check returns the violating rows (empty = pass), with the usual
 semantics of declarative data tests:
 
 * ``not_null``                 rows where the column is NULL
+* ``unique``                  single key: values occurring more than once; NULLs are ignored
 * ``unique_combination``      key groups occurring more than once (NULLs group together)
 * ``relationships``           non-NULL child keys without a parent row
 * ``expression_is_true``      rows where NOT(expr); a NULL result passes
@@ -20,26 +21,18 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marginflow.operators.joins import lookup_join
-
-
-def not_null(df: DataFrame, column: str) -> DataFrame:
-    return df.where(F.col(column).isNull())
-
 
 def unique_combination(df: DataFrame, columns: list[str], count_name: str = "row_count") -> DataFrame:
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias(count_name)).where(F.col(count_name) > 1)
 
 
-def relationships(child: DataFrame, column: str, parent: DataFrame, parent_column: str,
-                  parent_bound: int | None = None) -> DataFrame:
-    keys = parent.select(F.col(parent_column).alias(column))
-    return lookup_join(child.where(F.col(column).isNotNull()), keys, column, "left_anti",
-                       row_bound=parent_bound)
+def unique_name(columns: list[str]) -> str:
+    return ("unique:" if len(columns) == 1 else "unique_combination:") + ",".join(columns)
 
 
-def expression_is_true(df: DataFrame, expr: Column) -> DataFrame:
-    return df.where(~expr)
+def relationships(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+    keys = parent.select(F.col(parent_column).alias(column))
+    return child.where(F.col(column).isNotNull()).join(keys, column, "left_anti")
 
 
 @dataclass
@@ -47,7 +40,6 @@ class Relationship:
     column: str
     parent: DataFrame
     parent_column: str
-    parent_bound: int | None = None
 
 
 @dataclass
@@ -83,7 +75,7 @@ def contract_summary(df: DataFrame, contract: Contract) -> DataFrame:
         flag = f"_orphan{i}"
         keys = (rel.parent.select(F.col(rel.parent_column).alias(rel.column)).distinct()
                 .withColumn(flag, F.lit(False)))
-        rows = lookup_join(rows, keys, rel.column, "left", row_bound=rel.parent_bound)
+        rows = rows.join(keys, rel.column, "left")
         row_checks[f"relationships:{rel.column}"] = (F.col(rel.column).isNotNull()
                                                     & F.col(flag).isNull())
     names = list(row_checks)
@@ -93,9 +85,12 @@ def contract_summary(df: DataFrame, contract: Contract) -> DataFrame:
     if contract.unique:
         grain = contract.unique[0]
         groups = flags.groupBy(*grain).agg(F.count(F.lit(1)).alias("_n"), *sums)
-        totals = groups.agg(F.count_if(F.col("_n") > 1).alias("dup"),
+        repeated = F.col("_n") > 1
+        if len(grain) == 1:
+            repeated &= F.col(grain[0]).isNotNull()
+        totals = groups.agg(F.count_if(repeated).alias("dup"),
                             *[F.sum(f"c{i}").alias(f"c{i}") for i in range(len(names))])
-        names.append("unique_combination:" + ",".join(grain))
+        names.append(unique_name(grain))
         cols = [f"c{i}" for i in range(len(names) - 1)] + ["dup"]
     else:
         totals = flags.agg(*sums)
@@ -107,7 +102,8 @@ def contract_summary(df: DataFrame, contract: Contract) -> DataFrame:
     out = stacked
     for extra in contract.unique[1:]:
         dup = unique_combination(df, extra)
+        if len(extra) == 1:
+            dup = dup.where(F.col(extra[0]).isNotNull())
         out = out.unionByName(dup.agg(F.count(F.lit(1)).alias("violations"))
-                              .select(F.lit("unique_combination:" + ",".join(extra)).alias("check_name"),
-                                      "violations"))
+                              .select(F.lit(unique_name(extra)).alias("check_name"), "violations"))
     return out.select(F.lit(contract.model).alias("model"), "check_name", "violations")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marginflow.functions.numeric import r2, r4, ratio
 from marginflow.operators.aggregates import max_if, month_start, sum_if
-from marginflow.operators.joins import lookup_join
+from marginflow.operators.joins import spread_nulls
 from marginflow.plans.context import Workspace
 from marginflow.plans.operational import (campaign_profitability, client_lookup,
                                           client_projects_with_time)
@@ -78,8 +78,7 @@ def social_with_client(ws: Workspace) -> DataFrame:
                                             "website_clicks", "total_followers")
     campaigns = ws.cl("campaigns").select("campaign_id", F.col("account_id").alias("client_id"))
     clients = ws.cl("clients").select("client_id")
-    s = lookup_join(social, campaigns, "campaign_id", "inner", ws.bound("campaigns"))
-    return lookup_join(s, clients, "client_id", "inner", ws.bound("clients")).drop("campaign_id")
+    return social.join(campaigns, "campaign_id").join(clients, "client_id").drop("campaign_id")
 
 
 def client_social_pivot(ws: Workspace) -> DataFrame:
@@ -136,10 +135,7 @@ def client_performance_dashboard(ws: Workspace) -> DataFrame:
     and repeat across platforms and windows: never sum them downstream."""
     def build():
         paid = client_paid_blended(ws)
-        # internal totals: one row per client of the time facts; social: one
-        # row per client that resolved through the clients dimension (inner).
-        j = lookup_join(paid, client_internal_totals(ws), "client_id", "left", ws.bound("client_facts"))
-        j = lookup_join(j, client_social_pivot(ws), "client_id", "left", ws.bound("clients"))
+        j = paid.join(client_internal_totals(ws), "client_id", "left").join(client_social_pivot(ws), "client_id", "left")
         profit, internal = F.col("media_only_profit_eur_client"), F.col("total_internal_cost_eur")
         both = profit.isNotNull() & internal.isNotNull()
         net = F.when(both, r2(profit - internal))
@@ -250,9 +246,8 @@ def resource_utilization(ws: Workspace) -> DataFrame:
                                               F.col("status").alias("employee_status"))
         projects = ws.cl("projects").select("project_id", "project_name", "project_start_date",
                                             "project_end_date", "monthly_budget_eur")
-        j = lookup_join(t, employees, "employee_id", "left", ws.bound("employees"))
-        j = lookup_join(j, client_lookup(ws), "client_id", "left", ws.bound("clients"))
-        j = lookup_join(j, projects, "project_id", "left", ws.bound("projects"))
+        j = t.join(employees, "employee_id", "left").join(client_lookup(ws), "client_id", "left")
+        j = spread_nulls(j, projects, "project_id", by=["client_id", "report_date", "employee_id"])
         billable = F.col("is_productive")
         g = j.groupBy(*UTILIZATION_KEYS).agg(
             F.min("report_date").alias("first_work_date"),

@@ -1,7 +1,8 @@
 """Registry of every published relation and report: key -> (spark, sf_dir) -> DataFrame.
 
 Every query reads the whole test tables of the given folder (through the
-session's Workspace for that folder), so its work grows with them.
+session's Workspace for that folder), so its work grows with them; only the
+declared orphan makers of the mapping leave rows out (sources.testdata).
 """
 
 from __future__ import annotations
@@ -14,22 +15,24 @@ from pyspark.sql import functions as F
 from marginflow.plans import analysis, business, contracts, operational
 from marginflow.plans.context import Workspace
 from marginflow.session import apply_runtime_defaults
+from marginflow.sources.readers import interface_view
+from marginflow.sources.schemas import RAW_SOURCES
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
-_WORKSPACES: dict[tuple[int, str], Workspace] = {}
-
-
 def workspace(spark: SparkSession, sf_dir: str) -> Workspace:
     """One workspace per session and test folder: the logical plans of the
     shared models are built once and reused by every query (no data is
-    cached; each action re-reads the inputs)."""
-    key = (id(spark), sf_dir.rstrip("/"))
-    if key not in _WORKSPACES:
-        apply_runtime_defaults(spark)
-        _WORKSPACES[key] = Workspace.from_testdata(spark, sf_dir)
-    return _WORKSPACES[key]
+    cached; each action re-reads the inputs).  A folder whose files changed
+    gets a new workspace."""
+    apply_runtime_defaults(spark)
+    # kept on the session itself, so that they go with it
+    own: dict[str, Workspace] = spark.__dict__.setdefault("_marginflow_workspaces", {})
+    folder = sf_dir.rstrip("/")
+    if folder not in own or own[folder].stale():
+        own[folder] = Workspace.from_testdata(spark, folder)
+    return own[folder]
 
 
 def _ws(fn: Callable[[Workspace], DataFrame]) -> QueryFn:
@@ -40,11 +43,15 @@ def _ws(fn: Callable[[Workspace], DataFrame]) -> QueryFn:
     return run
 
 
+def _il(name: str) -> QueryFn:
+    return _ws(lambda ws: interface_view(ws.spark, name, ws.raw(name)))
+
+
 def _cl(name: str) -> QueryFn:
     return _ws(lambda ws: ws.cl(name))
 
 
-def _dq_grain(model: str, count_name: str = "row_count") -> Callable[[Workspace], DataFrame]:
+def _dq_grain_of(model: str, count_name: str = "row_count") -> Callable[[Workspace], DataFrame]:
     spec = contracts.CONTRACT_BY_MODEL[model]
 
     def run(ws: Workspace) -> DataFrame:
@@ -57,8 +64,7 @@ def _orphan_employees(ws: Workspace) -> DataFrame:
     """Utilisation rows whose employee has no master record (reported, not enforced)."""
     from marginflow.operators.quality import relationships
     util = business.resource_utilization(ws)
-    orphans = relationships(util, "employee_id", ws.cl("employees"), "employee_id",
-                            ws.bound("employees"))
+    orphans = relationships(util, "employee_id", ws.cl("employees"), "employee_id")
     return orphans.groupBy("employee_id").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.countDistinct("client_id").alias("n_clients"),
@@ -66,9 +72,9 @@ def _orphan_employees(ws: Workspace) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {
-    # cleansed layer (M1-M7)
-    **{f"cl_{n}": _cl(n) for n in ("ad_metrics", "campaigns", "clients", "employees",
-                                  "projects", "social_metrics", "time_tracking")},
+    # interface layer (S1-S7, S10) and cleansed layer (M1-M7)
+    **{f"il_{n}": _il(n) for n in sorted(RAW_SOURCES)},
+    **{f"cl_{n}": _cl(n) for n in sorted(RAW_SOURCES)},
     # operational layer (M8-M10) and the allocation building blocks
     "ol_unified_ad_metrics": _ws(operational.unified_ad_metrics),
     "ol_client_projects_with_time": _ws(operational.client_projects_with_time),
@@ -95,9 +101,9 @@ QUERIES: dict[str, QueryFn] = {
     "dq_not_null": _ws(lambda ws: contracts.summary(ws, kinds={"not_null"})),
     "dq_relationships": _ws(lambda ws: contracts.summary(ws, kinds={"relationship"})),
     "dq_expression_range": _ws(lambda ws: contracts.summary(ws, kinds={"expression"})),
-    "dq_grain_dashboard": _ws(_dq_grain("bl_client_performance_dashboard")),
-    "dq_grain_utilization": _ws(_dq_grain("bl_resource_utilization")),
-    "dq_grain_monthly": _ws(_dq_grain("bl_monthly_campaign_cohorts")),
+    "dq_grain_dashboard": _ws(_dq_grain_of("bl_client_performance_dashboard")),
+    "dq_grain_utilization": _ws(_dq_grain_of("bl_resource_utilization")),
+    "dq_grain_monthly": _ws(_dq_grain_of("bl_monthly_campaign_cohorts")),
     "dq_profit_consistency": _ws(lambda ws: contracts.violating_rows(
         ws, "ol_campaign_profitability", "profit_consistency")),
     "dq_monthly_negative": _ws(lambda ws: contracts.violating_rows(

@@ -12,43 +12,37 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marginflow.operators.cleansing import CLEANSERS
 from marginflow.sources import testdata
-from marginflow.sources.readers import read_raw
+from marginflow.sources.readers import conform, read_raw
 
 
 class Workspace:
     def __init__(self, spark: SparkSession, raw_builders: dict[str, Callable[[], DataFrame]],
-                 bound_fns: dict[str, Callable[[], int]]):
+                 state: Callable[[], tuple] = tuple):
         self.spark = spark
         self._raw_builders = raw_builders
-        self._bound_fns = bound_fns
         self._memo: dict[str, DataFrame] = {}
-        self._bounds: dict[str, int | None] = {}
+        self._seeded: dict[str, DataFrame] = {}
+        self._state_of, self._state = state, state()
 
     # -- construction -----------------------------------------------------
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "Workspace":
         t = testdata.TestTables(spark, sf_dir)
-        builders = {name: (lambda fn=fn: fn(t)) for name, fn in testdata.BUILDERS.items()}
-        bounds = {name: (lambda tbl=tbl: t.row_count(tbl))
-                  for name, tbl in testdata.ROW_BOUND_TABLE.items()}
-        # The adapter inner-joins every fact row to customer, so per-client
-        # aggregates of the facts have at most one row per customer.
-        bounds["client_facts"] = lambda: t.row_count("customer")
-        return cls(spark, builders, bounds)
+        builders = {name: (lambda n=name, fn=fn: conform(n, fn(t))) for name, fn in testdata.BUILDERS.items()}
+        return cls(spark, builders, t.state)
 
     @classmethod
     def from_sources(cls, spark: SparkSession, paths: dict[str, str], fmt: str = "parquet") -> "Workspace":
-        builders = {name: (lambda n=name, p=path: read_raw(spark, n, p, fmt))
-                    for name, path in paths.items()}
-        ws = cls(spark, builders, {})
-        # Dimension sizes: counted on the raw source itself (footer metadata
-        # for parquet).  They bound every lookup and per-client aggregate.
-        ws._bound_fns = {name: (lambda n=name: ws.raw(n).count())
-                         for name in ("campaigns", "clients", "employees", "projects") if name in paths}
-        # Fact client ids may be orphans here, so per-client aggregates of the
-        # facts have no proven bound ("client_facts" stays unknown): their
-        # joins are left to Spark, and AQE broadcasts them from measured sizes.
-        return ws
+        return cls(spark, {name: (lambda n=name, p=path: read_raw(spark, n, p, fmt))
+                           for name, path in paths.items()})
+
+    def fresh(self) -> "Workspace":
+        """The same raw sources, nothing derived from them yet."""
+        return Workspace(self.spark, self._raw_builders, self._state_of)
+
+    def stale(self) -> bool:
+        """The raw files changed since this workspace was made."""
+        return self._state_of() != self._state
 
     # -- access -----------------------------------------------------------
     def _get(self, key: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -62,17 +56,11 @@ class Workspace:
     def cl(self, name: str) -> DataFrame:
         return self._get("cl:" + name, lambda: CLEANSERS[name](self.raw(name)))
 
-    def bound(self, name: str) -> int | None:
-        """Proven upper bound on the rows of a dimension, or of per-client
-        aggregates of the facts ("client_facts"); None when unknown."""
-        if name not in self._bounds:
-            fn = self._bound_fns.get(name)
-            self._bounds[name] = fn() if fn else None
-        return self._bounds[name]
-
     def model(self, key: str, build: Callable[[], DataFrame]) -> DataFrame:
         return self._get("model:" + key, build)
 
     def seed(self, key: str, df: DataFrame) -> None:
-        """Replace a memoised relation (e.g. by its materialised table)."""
-        self._memo[key] = df
+        """Replace a relation (e.g. by its materialised table).  Whatever may
+        have been derived from the old one is built anew."""
+        self._seeded[key] = df
+        self._memo = {k: v for k, v in self._memo.items() if k.startswith("raw:")} | self._seeded

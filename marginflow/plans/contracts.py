@@ -1,13 +1,14 @@
 """Data-quality contracts of the cleansed, operational and business models.
 
-Declared once as data; ``evaluate`` turns a contract into Spark checks
-(operators.quality) and ``marginflow.oracle`` renders the same declaration
-as SQL.  Row-level predicates are written as SQL expression text that both
-Spark (``F.expr``) and the SQL oracle parse identically.
+Declared once as data; ``to_contract`` turns a declaration into Spark checks
+(operators.quality).  A row-level predicate is SQL expression text that Spark
+parses, or a function that builds the Column where Spark's SQL function
+differs from the meaning of the check (rounding).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -19,15 +20,18 @@ from marginflow.plans import business, operational
 from marginflow.plans.context import Workspace
 
 
+Predicate = str | Callable[[], Column]
+
+
 @dataclass
 class ContractSpec:
     model: str
     unique: list[list[str]] = field(default_factory=list)
     not_null: list[str] = field(default_factory=list)
-    # name -> SQL predicate that must be true (NULL passes)
-    expressions: dict[str, str] = field(default_factory=dict)
-    # name -> SQL predicate selecting violating rows (singular tests)
-    violations: dict[str, str] = field(default_factory=dict)
+    # name -> predicate that must be true (NULL passes)
+    expressions: dict[str, Predicate] = field(default_factory=dict)
+    # name -> predicate selecting violating rows (singular tests)
+    violations: dict[str, Predicate] = field(default_factory=dict)
     # (column, parent model, parent column)
     relationships: list[tuple[str, str, str]] = field(default_factory=list)
 
@@ -47,8 +51,8 @@ CONTRACTS: list[ContractSpec] = [
     ContractSpec("ol_campaign_profitability", unique=[PROFIT_GRAIN],
                  expressions={"ad_spend_eur >= 0": "ad_spend_eur >= 0",
                               "revenue_eur >= 0": "revenue_eur >= 0"},
-                 violations={"profit_consistency":
-                             "round(media_only_profit_eur - (revenue_eur - ad_spend_eur), 2) <> 0"}),
+                 violations={"profit_consistency": lambda: r2(
+                     F.col("media_only_profit_eur") - (F.col("revenue_eur") - F.col("ad_spend_eur"))) != 0}),
     ContractSpec("bl_client_performance_dashboard",
                  unique=[["client_id", "platform", "attribution_window"]],
                  not_null=["client_id", "platform", "attribution_window"],
@@ -94,24 +98,15 @@ def model_frame(ws: Workspace, model: str) -> DataFrame:
     }[model](ws)
 
 
-def _bound_of(ws: Workspace, model: str) -> int | None:
-    return ws.bound(model[3:]) if model.startswith("cl_") else None
-
-
-def _spark_predicate(sql: str) -> Column:
-    # Spark's round() rounds the decimal text of a double; the contract means
-    # binary half-away rounding, so the one singular test using it is built
-    # from the helper instead of parsed.
-    if sql.startswith("round(media_only_profit_eur"):
-        return r2(F.col("media_only_profit_eur") - (F.col("revenue_eur") - F.col("ad_spend_eur"))) != 0
-    return F.expr(sql)
+def column_of(predicate: Predicate) -> Column:
+    return predicate() if callable(predicate) else F.expr(predicate)
 
 
 def to_contract(ws: Workspace, spec: ContractSpec, kinds: set[str] | None = None) -> Contract:
     want = (lambda k: kinds is None or k in kinds)
-    expressions = ({n: _spark_predicate(s) for n, s in spec.expressions.items()}
+    expressions = ({n: column_of(s) for n, s in spec.expressions.items()}
                    if want("expression") else {})
-    violations = ({n: _spark_predicate(s) for n, s in spec.violations.items()}
+    violations = ({n: column_of(s) for n, s in spec.violations.items()}
                   if want("singular") else {})
     return Contract(
         model=spec.model,
@@ -119,7 +114,7 @@ def to_contract(ws: Workspace, spec: ContractSpec, kinds: set[str] | None = None
         not_null=spec.not_null if want("not_null") else [],
         expressions=expressions,
         violations=violations,
-        relationships=[Relationship(c, model_frame(ws, pm), pc, _bound_of(ws, pm))
+        relationships=[Relationship(c, model_frame(ws, pm), pc)
                        for c, pm, pc in spec.relationships] if want("relationship") else [])
 
 
@@ -140,4 +135,4 @@ def summary(ws: Workspace, models: list[str] | None = None, kinds: set[str] | No
 
 def violating_rows(ws: Workspace, model: str, name: str) -> DataFrame:
     spec = CONTRACT_BY_MODEL[model]
-    return model_frame(ws, model).where(_spark_predicate(spec.violations[name]))
+    return model_frame(ws, model).where(column_of(spec.violations[name]))

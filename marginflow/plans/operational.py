@@ -9,7 +9,7 @@ from marginflow.functions.numeric import r2, ratio
 from marginflow.operators.aggregates import sum_if
 from marginflow.operators.allocation import (AllocationColumns, allocate_two_tier, allocation_branch,
                                              daily_sum, roll_up)
-from marginflow.operators.joins import lookup_join
+from marginflow.operators.joins import spread_nulls
 from marginflow.plans.context import Workspace
 
 UNIFIED_KEYS = ["client_id", "client_name", "primary_industry", "country", "campaign_id",
@@ -40,8 +40,9 @@ def unified_ad_metrics(ws: Workspace) -> DataFrame:
                                            "attribution_window", *AD_VOLUMES)
         campaigns = ws.cl("campaigns").select("campaign_id", "campaign_name", "platform",
                                               "campaign_status", "daily_budget_eur")
-        base = lookup_join(facts, campaigns, "campaign_id", "left", ws.bound("campaigns"))
-        base = lookup_join(base, client_lookup(ws), "client_id", "left", ws.bound("clients"))
+        # Campaigns last: the aggregate below then finds the rows dealt out by
+        # campaign_id, not by client_id, which a few clients dominate.
+        base = facts.join(client_lookup(ws), "client_id", "left").join(campaigns, "campaign_id", "left")
         agg = base.groupBy(*UNIFIED_KEYS).agg(*[F.sum(c).alias(c) for c in AD_VOLUMES])
         spend, impr = F.col("spend_eur"), F.col("impressions")
         return agg.select(
@@ -58,10 +59,8 @@ def unified_ad_metrics(ws: Workspace) -> DataFrame:
 def client_projects_with_time(ws: Workspace) -> DataFrame:
     """Internal time and cost at client x project x day.
 
-    The employee lookup of the time entries contributes no column to this
-    aggregate, and cl_employees is unique on employee_id (checked by
-    ``dq_cleansing_keys``), so that left join cannot change any row and is
-    not planned: it would only shuffle the time facts by employee.
+    The employee lookup adds no column, but a repeated employee row counts
+    its time entries again, as in every join of this model, so it is planned.
     """
     def build():
         facts = ws.cl("time_tracking").select("client_id", "project_id", "report_date",
@@ -69,8 +68,9 @@ def client_projects_with_time(ws: Workspace) -> DataFrame:
                                               "is_productive")
         projects = ws.cl("projects").select("project_id", "project_name", "project_start_date",
                                             "project_end_date", "monthly_budget_eur")
-        base = lookup_join(facts, client_lookup(ws), "client_id", "left", ws.bound("clients"))
-        base = lookup_join(base, projects, "project_id", "left", ws.bound("projects"))
+        base = (facts.join(ws.cl("employees").select("employee_id"), "employee_id", "left")
+                .join(client_lookup(ws), "client_id", "left"))
+        base = spread_nulls(base, projects, "project_id", by=["client_id", "report_date", "employee_id"])
         productive = F.col("is_productive")
         return base.groupBy(*TIME_KEYS).agg(
             F.countDistinct("employee_id").alias("n_employees"),
@@ -95,8 +95,7 @@ def _allocated(ws: Workspace) -> DataFrame:
     def build():
         return allocate_two_tier(campaign_performance(ws), client_day_ad_spend(ws),
                                  client_day_internal_cost(ws), entity="client_id",
-                                 day="report_date", weight="ad_spend_eur",
-                                 entity_bound=ws.bound("client_facts"))
+                                 day="report_date", weight="ad_spend_eur")
     return ws.model("allocated", build)
 
 
@@ -129,23 +128,20 @@ def campaign_profitability(ws: Workspace) -> DataFrame:
 
 # -- the allocation building blocks ------------------------------------------
 #
-# Day weights and day costs are summed straight from a narrow projection of
-# the cleansed facts (three columns), not from the operational models: the
-# campaign, client and project lookups are unique on their keys (checked by
-# ``dq_cleansing_keys``), so they change no sum, and a second pass over the
-# wide, joined and aggregated models would cost as much as building them.
+# Summed from the operational models, so that rows which a lookup repeats
+# weigh in the totals as they weigh in the model (shares add up to 1).
 
 ALLOC = AllocationColumns()
 
 
 def client_day_ad_spend(ws: Workspace) -> DataFrame:
     return ws.model("client_day_ad_spend", lambda: daily_sum(
-        ws.cl("ad_metrics"), "client_id", "report_date", "spend_eur", ALLOC.day_weight))
+        unified_ad_metrics(ws), "client_id", "report_date", "spend_eur", ALLOC.day_weight))
 
 
 def client_day_internal_cost(ws: Workspace) -> DataFrame:
     return ws.model("client_day_internal_cost", lambda: daily_sum(
-        ws.cl("time_tracking"), "client_id", "report_date", "cost_eur", ALLOC.day_cost))
+        client_projects_with_time(ws), "client_id", "report_date", "total_cost_eur", ALLOC.day_cost))
 
 
 def client_total_ad_spend(ws: Workspace) -> DataFrame:

@@ -3,9 +3,9 @@ and business tables written as parquet.
 
 Each table is written once and read back before its consumers use it, so
 the business jobs start from the operational files and the data-quality
-contracts from the business files (lineage cut at every layer, no model
+contracts from the written models (lineage cut at every layer, no model
 recomputed per consumer); an executor loss in a later job never re-runs an
-earlier layer.
+earlier layer.  A build is a new version, published when it is complete.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from marginflow.plans import business, contracts, operational
 from marginflow.plans.context import Workspace
 from marginflow.sources.readers import register_interface_views
-from marginflow.sources.sinks import write_table
+from marginflow.sources.sinks import new_version, publish_version, write_table
 
 CLEANSED = ("ad_metrics", "campaigns", "clients", "employees", "projects", "social_metrics",
             "time_tracking")
@@ -32,35 +32,50 @@ BUSINESS = {
 
 
 def build_all(ws: Workspace, out_dir: str, run_checks: bool = True) -> dict[str, str]:
-    """Rebuild every table under ``out_dir``; return name -> path.
+    """Rebuild every table as a new version under ``out_dir`` and publish it;
+    return name -> path.
 
+    ``ws`` gives the raw sources and is not changed: the build has a workspace
+    of its own, so it can be repeated, and a failed build publishes nothing.
     With ``run_checks`` the contract summary is written too
     (``dq_summary``: model, check_name, violations).
     """
     spark = ws.spark
-    out = out_dir.rstrip("/")
+    build = ws.fresh()
+    version = new_version(out_dir)
     paths: dict[str, str] = {}
-    register_interface_views({n: ws.raw(n) for n in CLEANSED})
+    register_interface_views({n: build.raw(n) for n in CLEANSED})
 
-    def publish(name: str, df: DataFrame) -> DataFrame:
-        path = f"{out}/{name}"
-        write_table(df, path)
+    def write(name: str, df: DataFrame) -> DataFrame:
+        path = f"{version}/{name}"
+        write_table(df, path, mode="errorifexists")
         paths[name] = path
-        return spark.read.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
 
     for n in CLEANSED:
-        ws.seed("cl:" + n, publish("cl_" + n, ws.cl(n)))
-    for name, build in OPERATIONAL.items():
-        key = "model:" + name.removeprefix("ol_")
-        ws.seed(key, publish(name, build(ws)))
-    for name, build in BUSINESS.items():
-        ws.seed("model:" + name.removeprefix("bl_"), publish(name, build(ws)))
+        build.seed("cl:" + n, write("cl_" + n, build.cl(n)))
+    for name, model in {**OPERATIONAL, **BUSINESS}.items():
+        build.seed(_key(name), write(name, model(build)))
     if run_checks:
-        # every contract now reads a written table: no model is recomputed
-        publish("dq_summary", contracts.summary(ws))
+        write("dq_summary", contracts.summary(build))
+    publish_version(spark, out_dir, version)
     return paths
 
 
+def _key(table: str) -> str:
+    return "cl:" + table.removeprefix("cl_") if table.startswith("cl_") else "model:" + table[3:]
+
+
+def written_workspace(ws: Workspace, paths: dict[str, str]) -> Workspace:
+    """A workspace whose models are the tables of a build: contracts and
+    reports on it scan written tables and recompute no model."""
+    out = ws.fresh()
+    for name, path in paths.items():
+        if name != "dq_summary":
+            out.seed(_key(name), ws.spark.read.parquet(path))
+    return out
+
+
 def main(argv: list[str] | None = None) -> None:
     """``python -m marginflow.plans.pipeline --sf-dir DIR --out DIR`` (test tables), or
     ``--raw name=path ...`` for real raw sources (parquet; ``--format csv`` for CSV)."""

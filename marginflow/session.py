@@ -19,10 +19,6 @@ _DEFAULTS = {
     # on the same key (unified ad metrics): AQE then adds the extra exchange,
     # but only when it measured skew.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # COUNT/MIN/MAX from parquet footers where parquet is read through the
-    # v2 source; with the v1 source the row-bound counts (operators.joins)
-    # already read no column (empty read schema, row-group metadata only).
-    "spark.sql.parquet.aggregatePushdown": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # Python call-site capture for error context costs milliseconds per
@@ -45,24 +41,17 @@ def get_session(master: str | None = None, app_name: str = "marginflow",
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 # Performance-only runtime settings (no effect on results), applied to any
 # session handed to the query catalogue, including one built elsewhere.
-RUNTIME_DEFAULTS = {k: v for k, v in _DEFAULTS.items()
-                    if k.startswith("spark.sql.adaptive.") or k in (
-                        "spark.sql.parquet.aggregatePushdown",
-                        "spark.python.sql.dataFrameDebugging.enabled")}
+RUNTIME_DEFAULTS = {k: v for k, v in _DEFAULTS.items() if k.startswith("spark.sql.adaptive.")}
 
 
 def apply_runtime_defaults(spark: SparkSession) -> None:
     for key, value in RUNTIME_DEFAULTS.items():
-        try:
-            spark.conf.set(key, value)
-        except Exception:  # noqa: BLE001 - static or unknown in this deployment
-            pass
+        spark.conf.set(key, value)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -70,7 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     A cluster names its shared folder in ``spark.checkpoint.dir``; that value
     always wins.  Only a local-mode session (tests, laptops) without that
-    setting gets a fresh folder of its own under the system temp dir.
+    setting gets a fresh folder of its own under the system temp dir, when
+    a job first asks for it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)

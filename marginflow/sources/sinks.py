@@ -1,4 +1,5 @@
-"""Sinks: table (parquet, full rebuild), view, and lineage-cutting materialisation."""
+"""Sinks: table (parquet), versioned publication, view, and lineage-cutting
+materialisation."""
 
 from __future__ import annotations
 
@@ -8,14 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marginflow.session import ensure_checkpoint_dir
 
+POINTER = "CURRENT"
+
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 mode: str = "overwrite") -> None:
     """Materialise a relation as a parquet table (full rebuild by default).
 
-    The write is a distributed job: every task writes its own files and the
-    commit protocol publishes them atomically, so a lost executor only
-    re-runs its tasks.
+    Every task writes its own files, so a lost executor only re-runs its
+    tasks.  Overwriting deletes the old files before the new ones are there;
+    readers that must not see the gap read a published version instead.
     """
     writer = df.write.mode(mode)
     if partition_by:
@@ -23,6 +26,37 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     writer.parquet(path)
 
 
+def new_version(out_dir: str) -> str:
+    """Folder of a build that is not published yet."""
+    return f"{out_dir.rstrip('/')}/versions/{uuid.uuid4().hex}"
+
+
+def publish_version(spark: SparkSession, out_dir: str, version: str) -> None:
+    """Make ``version`` the one that readers of ``out_dir`` find.
+
+    The name of the version is written to a file of its own, which then
+    replaces the pointer file in one rename.  Older versions stay.
+    """
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(f"{out_dir.rstrip('/')}/{POINTER}")
+    fresh = jvm.org.apache.hadoop.fs.Path(f"{out_dir.rstrip('/')}/.{POINTER}-{uuid.uuid4().hex}")
+    stream = target.getFileSystem(conf).create(fresh)
+    stream.write(version.rsplit("/", 1)[-1].encode())
+    stream.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf)
+    overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(fresh, target, overwrite)
+
+
+def published_version(spark: SparkSession, out_dir: str) -> str:
+    """Folder of the published version."""
+    out = out_dir.rstrip("/")
+    name = spark.read.text(f"{out}/{POINTER}").first()[0]
+    return f"{out}/versions/{name}"
+
+
 def register_view(df: DataFrame, name: str) -> None:
     """A lazy, named relation (recomputed on each use)."""
     df.createOrReplaceTempView(name)

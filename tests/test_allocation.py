@@ -34,7 +34,7 @@ def allocated(spark):
     cols = AllocationColumns()
     day_weight = daily_sum(facts, "client_id", "report_date", "ad_spend_eur", cols.day_weight)
     day_cost = daily_sum(costs, "client_id", "report_date", "total_cost_eur", cols.day_cost)
-    out = allocate_two_tier(facts, day_weight, day_cost, entity_bound=10)
+    out = allocate_two_tier(facts, day_weight, day_cost)
     return out.withColumn("branch", allocation_branch(cols)).cache()
 
 

@@ -22,7 +22,7 @@ def test_day_costs_reconcile_and_no_rows_change(spark, facts, costs):
     c = spark.createDataFrame(costs, "client_id string, report_date date, total_cost_eur double")
     out = allocate_two_tier(
         f, daily_sum(f, "client_id", "report_date", "ad_spend_eur", COLS.day_weight),
-        daily_sum(c, "client_id", "report_date", "total_cost_eur", COLS.day_cost), entity_bound=10)
+        daily_sum(c, "client_id", "report_date", "total_cost_eur", COLS.day_cost))
     rows = out.collect()
     assert len(rows) == len(facts)                       # allocation never adds or drops rows
     day_cost = {}

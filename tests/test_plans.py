@@ -1,12 +1,16 @@
-"""Physical-plan properties: pruning, pushdown, bounded broadcasts, skew."""
+"""Physical-plan properties: pruning, pushdown, shared exchanges, skew."""
 
 import re
 from contextlib import contextmanager
 
+import pytest
 from pyspark.sql import functions as F
 
-from marginflow.operators.joins import fits_broadcast, lookup_join
+from marginflow.operators.joins import spread_nulls
 from marginflow.plans import business, operational
+from marginflow.plans.context import Workspace
+from marginflow.sources.schemas import RAW_SOURCES
+from marginflow.sources.sinks import write_table
 
 
 @contextmanager
@@ -43,40 +47,56 @@ def test_scans_read_only_needed_columns(ws_small):
         assert "l_partkey" not in cols and "l_suppkey" not in cols and "l_linestatus" not in cols
 
 
-def test_filters_reach_the_scan(ws_small):
+def test_scans_read_whole_tables(ws_small):
+    """Only the declared orphan makers are filters of the mapping."""
     plan = _plan(ws_small.cl("time_tracking"))
-    assert re.search(r"PushedFilters: \[[^\]]*LessThanOrEqual\(l_linenumber,2\)", plan), plan
+    assert "l_linenumber#" in plan and not re.search(r"LessThanOrEqual\(l_linenumber", plan), plan
 
 
-def test_broadcast_needs_a_bound(spark):
-    df = spark.createDataFrame([("a", 1)], "k string, v long")
-    assert not fits_broadcast(df, None)
-    assert fits_broadcast(df, 1000)
-    assert not fits_broadcast(df, 10**9)
+@pytest.fixture(scope="module")
+def parquet_ws(spark, ws_small, tmp_path_factory):
+    """The raw sources as parquet files: plans without the test adapter."""
+    paths = {}
+    for name in RAW_SOURCES:
+        paths[name] = str(tmp_path_factory.mktemp("raw") / name)
+        write_table(ws_small.raw(name), paths[name])
+    return Workspace.from_sources(spark, paths)
+
+
+def test_daily_aggregates_are_shared(spark, parquet_ws):
+    """Facts are scanned once for the model and once per daily aggregate; the
+    lifetime totals reuse the daily exchanges."""
     with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
-        assert not fits_broadcast(df, 10)
+        plan = _final_plan(operational.campaign_profitability(parquet_ws.fresh()))
+    final = plan.split("== Initial Plan ==")[0]
+    assert len(re.findall(r"FileScan parquet [^\n]*ad_metrics", final)) <= 2, final
+    assert len(re.findall(r"FileScan parquet [^\n]*time_tracking", final)) <= 1, final
+    assert "ReusedExchange" in final
 
 
-def test_unbounded_lookup_is_not_broadcast(spark):
-    facts = spark.range(1000).select(F.col("id").cast("string").alias("k"))
-    dim = spark.range(1000).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("v"))
+def test_unified_aggregate_is_not_dealt_by_client(spark, parquet_ws):
     with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
-        assert "BroadcastHashJoin" not in _plan(lookup_join(facts, dim, "k", row_bound=None))
-    assert "BroadcastHashJoin" in _plan(lookup_join(facts, dim, "k", row_bound=1000))
+        plan = _plan(operational.unified_ad_metrics(parquet_ws.fresh()))
+    # the last exchange above the facts, below the aggregate, is by campaign
+    assert re.search(r"SortMergeJoin \[campaign_id", plan), plan
+    first = re.search(r"Exchange hashpartitioning\(([^)]*)\)", plan).group(1)
+    assert first.startswith("campaign_id"), first
 
 
-def test_lifetime_totals_broadcast_daily_join_by_key(ws_small):
-    plan = _plan(operational.campaign_profitability(ws_small))
-    # client totals (one row per client, bounded) are broadcast ...
-    assert re.search(r"BroadcastHashJoin \[client_id#\d+\], \[client_id#\d+\], LeftOuter", plan), plan
-    # ... while the day-level join is keyed on (client_id, report_date)
-    assert re.search(r"Join \[client_id#\d+, report_date#\d+\], \[client_id#\d+, report_date#\d+\], LeftOuter",
-                     plan), plan
+def test_null_projects_are_dealt_out(spark):
+    facts = spark.createDataFrame([(str(i), None if i % 3 else "1", i) for i in range(300)],
+                                  "client_id string, project_id string, n long")
+    projects = spark.createDataFrame([("1", "one")], "project_id string, name string")
+    out = spread_nulls(facts, projects, "project_id", by=["client_id", "n"])
+    assert out.columns == ["client_id", "project_id", "n", "name"]
+    rows = out.collect()
+    assert len(rows) == 300
+    assert all((r.name == "one") == (r.project_id == "1") for r in rows)
 
 
 def test_unused_allocation_joins_are_pruned_from_monthly(ws_small):
     plan = _plan(business.monthly_campaign_cohorts(ws_small, ordered=False))
-    assert not re.search(r"Join \[client_id#\d+, report_date#\d+\]", plan), plan
+    assert "client_total_spend_eur" not in plan, plan
 
 
 def test_social_bridge_is_inner(ws_small):
@@ -97,7 +117,7 @@ def test_hot_key_is_split_by_aqe(spark):
                         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
                         "spark.sql.autoBroadcastJoinThreshold": "-1",
                         "spark.sql.shuffle.partitions": "32"}):
-        out = lookup_join(facts, dims, "campaign_id", "left").groupBy("campaign_id", "platform", "d") \
+        out = facts.join(dims, "campaign_id", "left").groupBy("campaign_id", "platform", "d") \
             .agg(F.sum("spend").alias("s"))
         plan = _final_plan(out)
         assert "skew=true" in plan, plan
@@ -106,14 +126,12 @@ def test_hot_key_is_split_by_aqe(spark):
 
 
 def test_building_models_runs_no_jobs(spark):
-    """Model construction is lazy: once the row bounds are known, building
-    every model and the contract suite submits no Spark job (the test tables
-    have declared schemas, so opening them needs no inference job either)."""
+    """Model construction is lazy: building every model and the contract suite
+    submits no Spark job (the test tables have declared schemas, so opening
+    them needs no inference job either)."""
     from marginflow.plans import contracts
     from marginflow.plans.context import Workspace
     ws = Workspace.from_testdata(spark, "/root/testdata/sf0.001")
-    for n in ("campaigns", "clients", "employees", "projects", "client_facts"):
-        ws.bound(n)
     sc = spark.sparkContext
     sc.setJobGroup("mf-build-only", "model construction")
     try:
