@@ -1,0 +1,400 @@
+"""Operators that compare documents: lines, near and exact copies, packing,
+mixing, vectors.  Brute force on small tables."""
+
+import hashlib
+import random
+import struct
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import public_tokenizers as P
+from marginflow.llm import lattice, lines, minhash, mixing, packing, trie
+from marginflow.llm.common import connected_components
+from marginflow.llm.oracle import ORACLE_SQL
+from marginflow.llm.queries import QUERIES
+from tests.conftest import SF_CHECK, SF_SMALL
+from tests.harness import compare, duck
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, key binary, rep long, size long, bucket string"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, t, "en", s, 0, None, 1, 2, "b") for i, t, s in rows], DOCS)
+
+
+def smallest(nodes, links):
+    root = {n: n for n in nodes}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for a, b in links:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+@pytest.mark.parametrize("sf", [SF_SMALL, SF_CHECK])
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_query_matches_oracle(spark, name, sf):
+    r = compare(spark, duck(sf), name, QUERIES[name], ORACLE_SQL[name], sf)
+    assert r["columns_match"] and r["exact"], r
+
+
+# -- connected components -------------------------------------------------------
+
+def test_components_of_chains_stars_and_cycles(spark):
+    chain = [(i, i + 1) for i in range(100, 160)]
+    star = [(7, i) for i in range(200, 240)]
+    cycle = [(300, 301), (301, 302), (302, 300), (300, 300)]
+    edges = chain + star + cycle + chain[:3]
+    random.Random(1).shuffle(edges)
+    out = connected_components(spark.createDataFrame(edges, "a long, b long"))
+    got = {r.id: r.component for r in out.collect()}
+    assert got == smallest({x for e in edges for x in e}, edges)
+    assert connected_components(spark.createDataFrame([], "a long, b long")) is None
+
+
+# -- lines ----------------------------------------------------------------------
+
+def test_lines_of_odd_texts(spark):
+    long = "\n".join(f"line number {i} of a long text" for i in range(30_000))
+    rows = [(5, "Shared Line Here\nown line of five", "a"), (2, "  shared line here\t\nown line of two\nshort\nshort", "a"),
+            (9, None, "a"), (10, "", "a"), (None, "shared line here\nnull id", "a"), (11, "short\nshort", "a"),
+            (12, "twice twice twice\ntwice twice twice", "a"), (13, "x\nSHARED LINE HERE", "a"), (20, long, "a"),
+            (30, "repeated id line", "a"), (30, "repeated id line", "a"), (40, "ÄÖÜ äöü ßßß\nx", "a"), (41, "äöü äöü ßßß", "a")]
+    out = {(r.doc_id, r.text): (r.n_lines, r.n_dropped) for r in lines.drop_repeated_lines(frame(spark, rows)).collect()}
+    assert out[(2, "  shared line here\t\nown line of two\nshort\nshort")] == (4, 0)
+    assert out[(5, "own line of five")] == (2, 1)
+    assert out[(9, "")] == (1, 0) and out[(10, "")] == (1, 0)
+    assert out[(None, "shared line here\nnull id")] == (2, 0)
+    assert out[(12, "twice twice twice\ntwice twice twice")] == (2, 0)
+    assert out[(13, "x")] == (2, 1)
+    assert out[(20, long)] == (30_000, 0)
+    assert out[(30, "repeated id line")] == (1, 0)
+    assert out[(40, "ÄÖÜ äöü ßßß\nx")] == (2, 0) and out[(41, "äöü äöü ßßß")] == (1, 0)  # only A-Z folds
+    assert lines.drop_repeated_lines(frame(spark, rows)).count() == len(rows)
+    assert lines.drop_repeated_lines(frame(spark, rows).limit(0)).count() == 0
+
+
+# -- near copies ----------------------------------------------------------------
+
+def brute_components(texts, percent):
+    sets = {i: minhash.shingle_set(t) for i, t in texts.items()}
+    ids = sorted(texts)
+    links = [(a, b) for x, a in enumerate(ids) for b in ids[:x] if minhash.similar(sets[a], sets[b], percent)]
+    return smallest(ids, links), links
+
+
+def varied(rng, words, n):
+    words = list(words)
+    for _ in range(n):
+        words[rng.randrange(len(words))] = f"w{rng.randrange(10**6)}"
+    return words
+
+
+def test_near_copies_match_brute_force(spark):
+    """Families around hubs, chains, shared passages, exact copies."""
+    rng = random.Random(4)
+    vocabulary = [f"v{i}" for i in range(3000)]
+    texts, i = {}, 0
+    for family in range(6):
+        hub = [rng.choice(vocabulary) for _ in range(250)]
+        member = hub
+        for k in range(25):
+            texts[i * 7 % 997] = " ".join(member)
+            # a star around the hub in even families, a chain in odd ones
+            member = varied(rng, hub if family % 2 == 0 else member, rng.randrange(1, 5))
+            i += 1
+    passage = " ".join(rng.choice(vocabulary) for _ in range(80))
+    for _ in range(60):
+        texts[i * 7 % 997] = " ".join(rng.choice(vocabulary) for _ in range(150)) + " " + passage
+        i += 1
+    for k in range(20):
+        texts[2000 + k] = texts[7]
+    want, links = brute_components(texts, 80)
+    assert len(links) > 500
+    got = minhash.near_duplicates(frame(spark, [(k, t, "a") for k, t in texts.items()]), percent=80).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got)
+    assert {r.doc_id: r.n_shingles for r in got} == {k: len(minhash.shingle_set(t)) for k, t in texts.items()}
+
+
+def test_large_bucket_is_compared_in_blocks(spark, monkeypatch):
+    """More members than a block: hub links that the star misses are found."""
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    rng = random.Random(9)
+    hub = [f"h{i}" for i in range(120)]
+    texts = {100 + k: " ".join(varied(rng, hub, 3)) for k in range(40)}
+    texts[500] = " ".join(hub)
+    want, _ = brute_components(texts, 85)
+    got = minhash.near_duplicates(frame(spark, [(k, t, "a") for k, t in texts.items()]), percent=85).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
+
+
+def test_near_copies_query_matches_brute_force(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
+    want, _ = brute_components(texts, 85)
+    got = QUERIES["op5_minhash"](spark, SF_SMALL).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
+
+
+def test_near_copies_of_odd_texts(spark):
+    long = " ".join(f"t{i}" for i in range(40_000))
+    rows = [(1, None, "a"), (2, "", "a"), (3, " \n\t", "a"), (4, "one two", "a"), (6, "ONE  two", "a"), (None, "one two", "a"),
+            (7, long, "a"), (8, long + " end", "a"), (9, "one two three", "a"), (10, "rep eat ed id here", "a"),
+            (10, "rep eat ed id here", "a")]
+    got = minhash.near_duplicates(frame(spark, rows)).collect()
+    assert len(got) == len(rows)
+    by = {r.doc_id: r for r in got}
+    for i in (1, 2, 3):
+        assert (by[i].n_shingles, by[i].component_id, by[i].kept) == (0, i, True)
+    assert (by[4].component_id, by[6].component_id, by[6].kept) == (4, 4, False)
+    assert (by[None].component_id, by[None].kept, by[None].n_shingles) == (None, True, 1)
+    assert (by[8].component_id, by[9].component_id, by[10].component_id) == (7, 9, 10)
+    assert minhash.near_duplicates(frame(spark, rows).limit(0)).count() == 0
+
+
+def test_every_coordinate_is_filled_and_agreement_is_the_similarity():
+    rng = np.random.default_rng(2)
+    size = 140
+    base = rng.integers(0, 2**63, 4000, dtype=np.uint64)
+    sets = [base[:1], base[:5], base[:300], base[:4000], np.empty(0, np.uint64)]
+    out = minhash.sketch(sets, size)
+    assert (out[:4] != np.uint64(2**64 - 1)).all()
+    share = [(minhash.sketch([base[i:i + 300], base[i + 60:i + 360]], size)) for i in range(0, 3000, 300)]
+    agree = np.mean([(s[0] == s[1]).mean() for s in share])
+    assert abs(agree - 240 / 360) < 0.05
+
+
+# -- exact copies ---------------------------------------------------------------
+
+def test_patricia_trie_with_spills():
+    rng = random.Random(6)
+    keys = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(0, 12))) for _ in range(3000)]
+    keys += [b"prefix" * 50, b"prefix" * 49 + b"x", b""]
+    want = defaultdict(list)
+    for i, k in enumerate(keys):
+        want[k].append(i)
+    for budget in (1 << 30, 5_000, 900):
+        for better in (min, max):
+            t = trie.PatriciaTrie(better, budget)
+            for i, k in enumerate(keys):
+                t.insert(k, i, 1)
+            items = list(t.items())
+            assert len(items) == len(want)
+            assert {k: (o, c) for k, o, c in items} == {k: (better(v), len(v)) for k, v in want.items()}
+
+
+@pytest.mark.parametrize("keep", ["min", "max"])
+def test_exact_copies_of_odd_texts(spark, keep):
+    long = "Long text. " * 30_000
+    rows = [(1, "Same", "a"), (5, "sAME", "a"), (3, "same", "a"), (4, None, "a"), (6, "", "a"), (None, "same", "a"),
+            (7, long, "a"), (8, long.upper(), "a"), (9, "Ä", "a"), (10, "ä", "a"), (11, "twice", "a"), (11, "twice", "a")]
+    got = trie.exact_duplicates(frame(spark, rows), keep=keep, budget=2_000).collect()
+    assert len(got) == len(rows)
+    by = {r.doc_id: r for r in got}
+    best = {"min": (1, 4, 7), "max": (5, 6, 8)}[keep]
+    assert {by[i].keep_id for i in (1, 3, 5)} == {best[0]} and by[1].group_size == 3
+    assert by[4].keep_id == by[6].keep_id == best[1] and by[7].keep_id == by[8].keep_id == best[2]
+    assert by[9].kept and by[10].kept and by[11].group_size == 2 and by[11].kept
+    assert (by[None].keep_id, by[None].group_size, by[None].kept) == (None, 1, True)
+    assert by[5].text_sha256 == hashlib.sha256(b"same").hexdigest()
+    assert trie.exact_duplicates(frame(spark, rows).limit(0)).count() == 0
+
+
+# -- packing --------------------------------------------------------------------
+
+def check_packing(rows, limit):
+    by = defaultdict(list)
+    for r in rows:
+        by[r.sequence_id].append((r.offset, r.length))
+    for parts in by.values():
+        end = 0
+        for offset, length in sorted(parts):
+            assert offset == end
+            end += length
+        assert end <= limit
+    return len(by)
+
+
+def test_packing_query_round_trip(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_CHECK}/documents.parquet").collect()}
+    rows = QUERIES["op7_packing"](spark, SF_CHECK).collect()
+    library = packing.tokenizer(P.path("word_bpe_49k.json"))[0]
+    want, total = set(), 0
+    for i, e in zip(docs, library.encode_batch([t or "" for t in docs.values()], add_special_tokens=False)):
+        ids = [*e.ids, 1]
+        total += len(ids)
+        for k, at in enumerate(range(0, len(ids), 4096)):
+            part = ids[at:at + 4096]
+            want.add((i, k, at, len(part), zlib.crc32(struct.pack(f"<{len(part)}I", *part))))
+    assert {(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows} == want and len(rows) == len(want)
+    assert check_packing(rows, 4096) <= -(-total // 4096) + 1
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_plan_uses_every_slot_once(seed):
+    rng = random.Random(seed)
+    histogram = {rng.randrange(1, 65): rng.randrange(1, 400) for _ in range(20)}
+    plan, sequences = packing.plan_slots(histogram, limit=64)
+    used, seen = defaultdict(int), defaultdict(set)
+    for length, rank, n, first, offset in plan.tolist():
+        for k in range(n):
+            assert rank + k not in seen[length]
+            seen[length].add(rank + k)
+            used[first + k] += length
+            assert offset + length <= 64
+    assert {k: len(v) for k, v in seen.items()} == histogram
+    assert all(seen[k] == set(range(histogram[k])) for k in seen)
+    assert len(used) == sequences and max(used.values()) <= 64
+    assert sequences <= 1.25 * sum(k * v for k, v in histogram.items()) / 64 + 1
+
+
+def test_packing_of_odd_texts(spark):
+    rows = [(1, None, "a"), (2, "", "a"), (None, "no id", "a"), (4, "word " * 10_000, "a"), (5, "same", "a"), (5, "same", "a"),
+            (6, "a b   <|endoftext|> É é é", "a"), (7, "x" * 20_000, "a")]
+    path = P.path("word_bpe_49k.json")
+    out = packing.pack(frame(spark, rows), path, limit=64).collect()
+    check_packing(out, 64)
+    library = packing.tokenizer(path)[0]
+    for i, t, _ in rows:
+        ids = [*library.encode(t or "", add_special_tokens=False).ids, 1]
+        own = {r.piece: r for r in out if r.doc_id == i}
+        assert sum(r.length for r in own.values()) == len(ids)
+        for k, r in own.items():
+            part = ids[r.start:r.start + r.length]
+            assert r.ids_crc32 == zlib.crc32(struct.pack(f"<{len(part)}I", *part)) and r.start == 64 * k
+    assert sum(r.doc_id == 5 for r in out) == 2
+    assert packing.pack(frame(spark, rows).limit(0), path).count() == 0
+
+
+# -- mixing ---------------------------------------------------------------------
+
+def fill(sizes, weights, cap):
+    """Water-filling by repeated redistribution."""
+    left, out, open_ = float(sum(sizes)), [0.0] * len(sizes), set(range(len(sizes)))
+    while open_:
+        share = {i: left * weights[i] / sum(weights[j] for j in open_) for i in open_}
+        over = {i for i in open_ if share[i] > cap * sizes[i]}
+        if not over:
+            for i in open_:
+                out[i] = share[i]
+            return out
+        for i in over:
+            out[i] = cap * sizes[i]
+            left -= out[i]
+            open_.discard(i)
+    return out
+
+
+def test_mixing_targets_and_odd_rows(spark):
+    rows = [(i, "w " * (i % 9 + 1), s) for i, s in enumerate(["big"] * 200 + ["mid"] * 20 + ["tiny"] * 2 + [None] * 3)]
+    rows += [(None, "no id here", "mid"), (900, None, "tiny"), (901, "", "none"), (5, "w " * 6, "big")]
+    out = mixing.mix(frame(spark, rows), F.struct("doc_id", "source", "size")).collect()
+    assert len(out) == len(rows)
+    sizes, targets, taken = defaultdict(int), {}, defaultdict(int)
+    for r in out:
+        s = r.payload.source
+        sizes[s] += r.size
+        targets[s], taken[s] = r.target, taken[s] + r.taken
+        assert 0 <= r.taken <= 3 * r.size and r.payload.size == 2 and 0 <= r.repeats <= 3
+    order = sorted((s for s in sizes if s is not None)) + [None]
+    want = fill([sizes[s] for s in order], [(5, 2, 1)[i % 3] for i in range(len(order))], 3)
+    for s, t in zip(order, want):
+        assert targets[s] == pytest.approx(t) and abs(taken[s] - t) <= 0.5 + 1e-6
+    again = mixing.mix(frame(spark, rows), F.col("doc_id"), narrow=False).collect()
+    assert sorted((str(r.payload), r.taken) for r in again) == sorted((str(r.payload.doc_id), r.taken) for r in out)
+    assert mixing.mix(frame(spark, rows).limit(0), F.col("doc_id")).count() == 0
+
+
+def test_mixing_has_no_python_in_its_plan(spark):
+    plan = QUERIES["op9_mixing"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+# -- vectors --------------------------------------------------------------------
+
+def brute_vectors(rows, threshold=0.98):
+    usable = []
+    for i, v, label in rows:
+        ok = v is not None and i is not None and label is not None and all(x is not None and np.isfinite(x) for x in v) and any(v)
+        usable.append(np.array(v, np.float64) / np.linalg.norm(np.array(v, np.float64)) if ok else None)
+    links = [(a, b) for a in range(len(rows)) for b in range(a) if usable[a] is not None and usable[b] is not None
+             and rows[a][2] == rows[b][2] and len(usable[a]) == len(usable[b]) and usable[a] @ usable[b] >= threshold]
+    n = defaultdict(int)
+    for a, b in links:
+        n[a] += 1
+        n[b] += 1
+    return n, smallest({r[0] for r in rows if r[0] is not None}, [(rows[a][0], rows[b][0]) for a, b in links])
+
+
+def test_vectors_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(lattice, "GROUP", 16)
+    rng = np.random.default_rng(8)
+    rows = []
+    for k in range(300):
+        v = rng.normal(size=64)
+        rows.append((k, v.tolist(), k % 3))
+        if k % 10 == 0:
+            for j in range(5):  # links well inside and near the threshold
+                angle = np.arccos(0.983 + 0.003 * j)
+                d = rng.normal(size=64)
+                d -= (d @ v) / (v @ v) * v
+                w = v / np.linalg.norm(v) + np.tan(angle) * d / np.linalg.norm(d)
+                rows.append((1000 + 10 * k + j, (w * (j + 1)).tolist(), k % 3))
+    for j in range(40):
+        rows.append((9000 + j, rows[0][1], 0))
+    n, component = brute_vectors(rows)
+    df = spark.createDataFrame([(i, v, l, "x", 0) for i, v, l in rows],
+                               "vec_id long, embedding array<double>, label int, cell string, rep long")
+    got = {r.vec_id: r for r in lattice.near_duplicate_vectors(df).collect()}
+    found = sum(min(got[r[0]].n_links, n[k]) for k, r in enumerate(rows))
+    assert all(got[r[0]].n_links <= n[k] for k, r in enumerate(rows))
+    assert found / sum(n.values()) >= 0.97
+    assert np.mean([got[i].component_id == c for i, c in component.items()]) >= 0.97
+
+
+def test_vectors_query_recall(spark):
+    rows = [(r.vec_id, r.embedding, r.label) for r in spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").collect()]
+    n, component = brute_vectors(rows)
+    got = {r.vec_id: r for r in QUERIES["op10_lattice"](spark, SF_SMALL).collect()}
+    assert sum(r.n_links for r in got.values()) >= 0.9 * sum(n.values())
+    assert sum(got[i].component_id == c for i, c in component.items()) >= 0.99 * len(component)
+
+
+def test_odd_vectors(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [(1, [1.0, 0.0, 0.0], 1), (2, [2.0, 0.0, 0.0], 1), (3, [1.0, 0.0, 0.0], 2), (4, None, 1), (5, [0.0, 0.0, 0.0], 1),
+            (6, [1.0, None, 0.0], 1), (7, [nan, 1.0, 0.0], 1), (8, [inf, 1.0, 0.0], 1), (9, [1.0, 0.0, 0.0], None),
+            (None, [1.0, 0.0, 0.0], 1), (10, [], 1), (11, [1.0, 0.0], 1), (12, [1e300, 0.0, 0.0], 1), (13, [1e-300, 0.0, 0.0], 1),
+            (14, [0.0, 1.0, 0.0], 1), (14, [0.0, 1.0, 0.0], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    out = lattice.near_duplicate_vectors(df).collect()
+    assert len(out) == len(rows)
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in out}
+    assert got[1] == (3, 1, True) and got[2] == (3, 1, False) and got[12] == (3, 1, False) and got[13] == (3, 1, False)
+    for i in (3, 4, 5, 6, 7, 8, 9, 10, 11):
+        assert got[i] == (0, i, True)
+    assert got[None] == (0, None, True)
+    assert got[14] == (1, 14, True)
+    assert lattice.near_duplicate_vectors(df.limit(0)).count() == 0
+
+
+def test_e8_decoder_finds_the_nearest_point():
+    """Against every lattice point near the origin."""
+    import itertools
+    rng = np.random.default_rng(11)
+    points = [p for p in itertools.product((-1, 0, 1), repeat=8) if sum(p) % 2 == 0 and sum(abs(x) for x in p) <= 4]
+    points += [tuple(x / 2 for x in p) for p in itertools.product((-1, 1), repeat=8) if sum(p) % 4 == 0]
+    points = np.array(points, float)
+    x = rng.uniform(-0.5, 0.5, size=(400, 8))
+    own, other = lattice.decode_e8(x)
+    best = ((x[:, None, :] - points[None]) ** 2).sum(axis=2).min(axis=1)
+    assert np.allclose(((x - own / 2) ** 2).sum(axis=1), best)
+    assert (((x - other / 2) ** 2).sum(axis=1) >= best - 1e-12).all()
