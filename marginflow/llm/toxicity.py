@@ -3,8 +3,9 @@
 Fit (on a bounded, documented sample of labelled documents): words and word
 beginnings that occur far more often in toxic than in clean documents label
 the tokens of toxic documents; a two-state chain with hashed word features
-is trained on those tokens; a logistic curve, fitted on the other half of
-the sample, turns a document's marginals into its score.
+is trained on those tokens; a logistic curve, fitted on marginals of halves
+of the sample that their chain has not seen, turns a document's marginals into
+its score.
 
 Scoring: forward-backward gives every token's marginal probability of being
 toxic; the document gets its score and the offsets of offending tokens.
@@ -246,17 +247,28 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", sample_do
         draw < min(span, math.ceil(sample_docs / n[0] * span)))
     sample = sorted({(xxhash.xxh64_intdigest(r["t"].encode(), 1), r["t"], r["y"]) for r in rows.filter(keep).collect()})
     docs, labels = [words_of(t) for _, t, _ in sample], [y for _, _, y in sample]
-    tags = _weak_tokens(docs, labels)
-    half = len(docs) // 2
-    model = _train(docs[:half], tags[:half]) if sum(len(d) for d in docs[:half]) else None
-    if model is None:
+    if not any(docs):
         return None
-    p, lengths = Tagger(model).marginals(docs[half:])
-    y = np.array(labels[half:], np.float64)
+    # the curve is fitted on marginals of documents that their chain has not seen
+    parts, order = [], []
+    for fold in range(2):
+        seen = [i for i in range(len(docs)) if i % 2 != fold and docs[i]]
+        rest = [i for i in range(len(docs)) if i % 2 == fold]
+        if not seen or not rest:
+            continue
+        tags = _weak_tokens([docs[i] for i in seen], [labels[i] for i in seen])
+        chain = Tagger(_train([docs[i] for i in seen], tags))
+        parts.append(_aggregates(*chain.marginals([docs[i] for i in rest])))
+        order += rest
+    full = [i for i in range(len(docs)) if docs[i]]
+    model = _train([docs[i] for i in full], _weak_tokens([docs[i] for i in full], [labels[i] for i in full]))
+    if not parts:
+        parts, order = [_aggregates(*Tagger(model).marginals(docs))], list(range(len(docs)))
+    y = np.array([labels[i] for i in order], np.float64)
     share = n[1] / (n[0] + n[1])
     mean = min(max(y.mean(), 1e-6), 1 - 1e-6)
     weight = np.where(y == 1, share / mean, (1 - share) / (1 - mean))
-    model["curve"] = _curve(_aggregates(p, lengths), y, weight)
+    model["curve"] = _curve(np.concatenate(parts), y, weight)
     return model
 
 
