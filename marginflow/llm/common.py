@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from marginflow.session import ensure_checkpoint_dir
 
-# Rows of one Arrow batch handed to Python.  Texts may be long, so batches
-# stay small: a worker holds one batch at a time.
-BATCH_ROWS = 512
+# Rows and bytes of one Arrow batch handed to Python: a worker holds one batch
+# at a time.
+BATCH_ROWS = 2048
 BATCH_BYTES = 16 << 20
 
 

@@ -13,12 +13,14 @@
 from __future__ import annotations
 
 import bisect
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,26 +29,81 @@ from marginflow.llm.tokens import tokenizer
 
 LIMIT = 4096
 END_ID = 1
-# Distinct words whose ids a task remembers.
+# Distinct words and parts of words whose ids a worker remembers.
 _CACHE_WORDS = 1 << 19
-_IDS: dict[str, dict[bytes, bytes]] = {}
-
-
-def word_ids(texts: list[str], path: str) -> list[bytes]:
-    """Token ids of each text as little-endian unsigned 32-bit integers.
+_CACHE_PARTS = 3 << 18
+_WORDS: dict[str, dict[bytes, bytes]] = {}
+_PARTS: dict[str, dict[bytes, bytes]] = {}
+# Words that fall into letters and others wherever the pre-tokenizer looks:
+# ASCII without apostrophes, and precomposed Latin letters (no multiplication
+# or division sign, no special strings).
+_PLAIN = re.compile(rb"(?:[\x00-\x26\x28-\x7f]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|[\xc4-\xc9][\x80-\xbf])*")
+_RUNS = re.compile(rb"[a-z\x80-\xff]+|[^a-z\x80-\xff]+")
+
+
+def _parts_of(word: bytes) -> list[bytes]:
+    """Pieces of a word between which the pre-tokenizer always cuts."""
+    if b"<|" in word or not _PLAIN.fullmatch(word):
+        return [word]
+    return _RUNS.findall(word.lower())
+
+
+def _encode_parts(parts: list[bytes], path: str) -> dict[bytes, bytes]:
+    t = tokenizer(path)[0]
+    model, out, rest = t.model, {}, []
+    for p in parts:
+        if p.isalpha() and p.islower():  # ASCII letters: one pre-token, as it stands
+            ids = [x.id for x in model.tokenize(p.decode())]
+            out[p] = struct.pack(f"<{len(ids)}I", *ids)
+        else:
+            rest.append(p)
+    if rest:
+        e = t.encode([p.decode() for p in rest], is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(e.ids, "<u4")
+        ends = np.cumsum(np.bincount(np.array(e.word_ids, np.int64), minlength=len(rest))).tolist()
+        for p, lo, hi in zip(rest, [0, *ends], ends):
+            out[p] = ids[lo:hi].tobytes()
+    return out
+
+
+def word_ids(texts: pa.StringArray, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Token ids of all texts side by side, and the place where each text ends.
 
     The tokenizer drops white space and never joins across it, so every word
-    between [\\x20\\x09-\\x0D] is encoded once by the library and remembered.
+    between [\\x20\\x09-\\x0D] is put together once from the ids of its
+    parts, which the library encodes once, and remembered.  Texts are split and
+    their words numbered by Arrow, so that Python sees each distinct word of a
+    batch once.
     """
-    known = _IDS.setdefault(path, {})
-    if len(known) > _CACHE_WORDS:
-        known.clear()
-    split = [t.encode().split() for t in texts]
-    missing = list({w for words in split for w in words if w not in known})
-    encoded = tokenizer(path)[0].encode_batch([w.decode() for w in missing], add_special_tokens=False)
-    for w, e in zip(missing, encoded):
-        known[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-    return [b"".join(map(known.__getitem__, words)) for words in split]
+    words, parts = _WORDS.setdefault(path, {}), _PARTS.setdefault(path, {})
+    if len(words) > _CACHE_WORDS:
+        words.clear()
+    if len(parts) > _CACHE_PARTS:
+        parts.clear()
+    split = pc.ascii_split_whitespace(texts)
+    numbered = split.flatten().dictionary_encode()
+    distinct = numbered.dictionary.cast(pa.binary()).to_pylist()
+    missing = [w for w in distinct if w not in words]
+    letters = {w: w.lower() for w in missing if w.isalpha()}  # ASCII letters only
+    others = {w: _parts_of(w) for w in missing if w not in letters}
+    new = set(letters.values()).union(*others.values()).difference(parts)
+    parts.update(_encode_parts(list(new), path))
+    for w, p in letters.items():
+        words[w] = parts[p]
+    for w, own in others.items():
+        words[w] = b"".join([parts[p] for p in own])
+
+    found = list(map(words.__getitem__, distinct))
+    values = np.frombuffer(b"".join(found), "<u4")
+    length = np.fromiter(map(len, found), np.int64, len(found)) // 4
+    first = np.cumsum(length) - length
+    index = numbered.indices.to_numpy()
+    n = length[index]
+    ends = np.cumsum(n)
+    total = int(ends[-1]) if len(ends) else 0
+    ids = values[np.arange(total) + np.repeat(first[index] - (ends - n), n)]
+    words_before = split.offsets.to_numpy().astype(np.int64)
+    return ids, np.concatenate([[0], ends])[words_before[1:] - words_before[0]]
 
 
 def plan_slots(histogram: dict[int, int], limit: int = LIMIT) -> tuple[np.ndarray, int]:
@@ -109,8 +166,9 @@ def pack(docs: DataFrame, path: str, limit: int = LIMIT, end_id: int = END_ID, d
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, piece, start, length, crc = [], [], [], [], []
-            for d, found in zip(b.column(0).to_pylist(), word_ids(b.column(1).to_pylist(), path)):
-                found += end
+            flat, ends = word_ids(b.column(1), path)
+            for d, lo, hi in zip(b.column(0).to_pylist(), [0, *ends.tolist()], ends.tolist()):
+                found = flat[lo:hi].tobytes() + end
                 for k, at in enumerate(range(0, len(found), 4 * limit)):
                     part = found[at:at + 4 * limit]
                     ids.append(d)

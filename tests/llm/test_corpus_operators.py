@@ -8,7 +8,10 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import public_tokenizers as P
@@ -238,6 +241,17 @@ def test_packing_query_round_trip(spark):
     assert check_packing(rows, 4096) <= -(-total // 4096) + 1
 
 
+@settings(max_examples=500, deadline=None)
+@given(st.text(alphabet=st.one_of(st.sampled_from(list("abZ'dlvest .,!<=>|19 éÉßø×÷ĳŁ\u0338\u0301\x1c\x85\xa0İΣσ-")),
+                                  st.characters(exclude_categories=["Cs"])), max_size=30))
+def test_word_ids_equal_the_library(text):
+    path = P.path("word_bpe_49k.json")
+    texts = [text, "", text + "<|endoftext|>" + text, "don't " + text + "'s", " " + text + "\n"]
+    want = [packing.tokenizer(path)[0].encode(t, add_special_tokens=False).ids for t in texts]
+    ids, ends = packing.word_ids(pa.array(["cut off", *texts], pa.string()).slice(1), path)
+    assert [ids[a:b].tolist() for a, b in zip([0, *ends], ends)] == want
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_plan_uses_every_slot_once(seed):
     rng = random.Random(seed)
