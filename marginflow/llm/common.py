@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import marginflow
 from marginflow.session import ensure_checkpoint_dir
 
 # Rows and bytes of one Arrow batch handed to Python: a worker holds one batch
@@ -19,12 +23,31 @@ BATCH_BYTES = 16 << 20
 
 
 def prepare(spark: SparkSession) -> None:
-    """Performance-only settings of the operators' Python stages."""
+    """Settings of the operators' Python stages (performance only), and this
+    package for the executors' Python workers."""
+    _ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
 
 
+def _ship(spark: SparkSession) -> None:
+    """Send the package's sources to the executors, once per Spark context, so
+    that workers find it wherever the driver was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_marginflow_shipped", False):
+        return
+    root = Path(marginflow.__file__).parent
+    if not root.is_dir():  # imported from an archive: the workers have it, too
+        return
+    archive = Path(tempfile.mkdtemp(prefix="marginflow-")) / "marginflow.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    sc._marginflow_shipped = True
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
