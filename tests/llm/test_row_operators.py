@@ -183,7 +183,7 @@ def test_forward_backward_equals_enumeration():
 
 
 def test_toxicity_of_odd_texts(spark):
-    rows = [(f"what a {'scumbag' if i % 2 else 'friend'} he is and more words follow here", i % 2) for i in range(200)]
+    rows = [(f"what a {'scumbag' if i % 2 else 'friend'} he is and more words follow here {i}", i % 2) for i in range(200)]
     labelled = spark.createDataFrame([*rows, (None, 1), ("no label", None)], "text string, toxic int")
     model = toxicity.fit(labelled)
     texts = [*ODD, "what a SCUMBAG he is"]
