@@ -56,8 +56,8 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; learned from the labels of the rows that
     are not held out."""
     docs = documents(spark, sf_dir)
-    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    model = toxicity.fit(docs.select("doc_id", "text").join(labels, "doc_id").filter(~is_held_out(F.col("doc_id"))))
+    labels = table(spark, sf_dir, "labels").filter(~is_held_out(F.col("doc_id")))
+    model = toxicity.fit(docs, labels)
     return toxicity.score(docs, model, [F.col("doc_id").cast("long").alias("doc_id"),
                                         is_held_out(F.col("doc_id")).alias("held_out")],
                           "doc_id long, held_out boolean")

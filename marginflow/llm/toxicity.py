@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from marginflow.llm.common import map_batches, prepare
 
 # Fit: documents of each label (expected), longest training text in code points.
-SAMPLE_DOCS = 2_500
+SAMPLE_DOCS = 1_500
 SAMPLE_CHARS = 16_384
 # A feature marks tokens if it is in MIN_SUPPORT toxic documents and LIFT
 # times as frequent there as in clean ones.
@@ -229,25 +229,34 @@ def _curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return beta
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", sample_docs: int = SAMPLE_DOCS) -> dict | None:
-    """Model from a bounded sample of labelled rows (null labels are left
-    out); None if a label is missing altogether.
+def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
+        sample_docs: int = SAMPLE_DOCS) -> dict | None:
+    """Model from a bounded sample of labelled rows (null labels and ids are
+    left out); None if a label is missing altogether.
 
-    ``sample_docs`` documents of each label (expected; by a hash of the text,
-    so reruns agree) of at most SAMPLE_CHARS code points reach the driver.
+    The sample is drawn from ``labels`` before any text is joined:
+    ``sample_docs`` rows of each label (expected; by a hash of the id, so reruns
+    agree), of which documents of at most SAMPLE_CHARS code points reach the
+    driver.
     """
-    rows = (labelled.select(F.coalesce(F.col(text), F.lit("")).alias("t"), F.col(label).cast("int").alias("y"))
-            .filter("y in (0, 1)").filter(F.length("t") <= SAMPLE_CHARS))
+    rows = (labels.select(F.col(doc_id).cast("long").alias("id"), F.col(label).cast("int").alias("y"))
+            .filter("y in (0, 1) and id is not null"))
     n = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if len(n) < 2:
         return None
     span = 1 << 40
-    draw = F.pmod(F.xxhash64("t", F.lit(11)), F.lit(span))
+    draw = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(span))
     keep = F.when(F.col("y") == 1, draw < min(span, math.ceil(sample_docs / n[1] * span))).otherwise(
         draw < min(span, math.ceil(sample_docs / n[0] * span)))
-    sample = sorted({(xxhash.xxh64_intdigest(r["t"].encode(), 1), r["t"], r["y"]) for r in rows.filter(keep).collect()})
-    docs, labels = [words_of(t) for _, t, _ in sample], [y for _, _, y in sample]
-    if not any(docs):
+    drawn = F.broadcast(rows.filter(keep))  # about 2 * sample_docs ids
+    found = (docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+             .join(drawn, "id").filter(F.length("t") <= SAMPLE_CHARS).select("t", "y").collect())
+    sample = sorted({(xxhash.xxh64_intdigest(r["t"].encode(), 1), r["t"], r["y"]) for r in found})
+    del found
+    once: dict[bytes, bytes] = {}  # one object per distinct word
+    docs = [[once.setdefault(w, w) for w in words_of(t)] for _, t, _ in sample]
+    labels = [y for _, _, y in sample]
+    if len(set(labels)) < 2 or not any(docs):
         return None
     # the curve is fitted on marginals of documents that their chain has not seen
     parts, order = [], []

@@ -183,9 +183,11 @@ def test_forward_backward_equals_enumeration():
 
 
 def test_toxicity_of_odd_texts(spark):
-    rows = [(f"what a {'scumbag' if i % 2 else 'friend'} he is and more words follow here {i}", i % 2) for i in range(200)]
-    labelled = spark.createDataFrame([*rows, (None, 1), ("no label", None)], "text string, toxic int")
-    model = toxicity.fit(labelled)
+    rows = [(i, f"what a {'scumbag' if i % 2 else 'friend'} he is and more words follow here {i}", i % 2) for i in range(200)]
+    labelled = spark.createDataFrame([*rows, (200, None, 1), (201, "no label", None), (None, "no id", 1)],
+                                     "doc_id long, text string, toxic int")
+    notes, labels = labelled.select("doc_id", "text"), labelled.select("doc_id", "toxic")
+    model = toxicity.fit(notes, labels)
     texts = [*ODD, "what a SCUMBAG he is"]
     df = frame(spark, texts)
     out = toxicity.score(df, model, [F.col("doc_id"), F.col("unit")], "doc_id long, unit string").collect()
@@ -195,6 +197,7 @@ def test_toxicity_of_odd_texts(spark):
     hit = by[len(texts) - 1]
     assert hit.predicted == 1 and [texts[-1][s.start:s.end] for s in hit.spans] == ["SCUMBAG"]
     assert by[0].predicted == 0
-    assert toxicity.fit(labelled.filter("toxic = 1")) is None
+    assert toxicity.fit(notes, labels.filter("toxic = 1")) is None
+    assert toxicity.fit(notes.limit(0), labels) is None
     assert {r.score for r in toxicity.score(df, None, [F.col("doc_id")], "doc_id long").collect()} == {0.0}
     assert toxicity.score(df.limit(0), model, [F.col("doc_id")], "doc_id long").count() == 0
