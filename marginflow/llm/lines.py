@@ -62,8 +62,9 @@ def drop_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
 
     lines = written(map_batches(rows.filter("doc_id is not null and text is not null"), keys,
                                 "doc_id long, key binary"), "lines")
-    repeated = (lines.groupBy("key").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last"))
-                .filter("keeper < last").select("key", "keeper"))
+    # written: joined straight to the aggregate, a common line would stay in its one partition
+    repeated = written(lines.groupBy("key").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last"))
+                       .filter("keeper < last").select("key", "keeper"), "repeated-lines")
     losses = (lines.join(repeated, "key").filter("doc_id <> keeper").select("doc_id", "key")
               .groupBy("doc_id").agg(F.collect_set("key").alias("lost")))
 
