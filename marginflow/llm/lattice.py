@@ -128,7 +128,8 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD, vec
                            "rep long, label string, v binary, cells array<long>")
                .select("rep", "v", F.explode("cells").alias("cell"), "label")
                .select("rep", "v", F.xxhash64("cell", "label", F.length("v")).alias("cell")))
-    crowded = entered.groupBy("cell").agg(F.count("*").alias("m")).filter("m > 1")
+    # written: a join straight to an aggregate could not split a hot cell
+    crowded = written(entered.groupBy("cell").agg(F.count("*").alias("m")).filter("m > 1"), "crowded-cells")
 
     def links(pdf: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[int, int]] = []
@@ -144,7 +145,7 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD, vec
         linked = weight.withColumn("component", F.col("rep")).withColumn("far", F.lit(0).cast("long"))
     else:
         inside = written(weight.join(parts.withColumnRenamed("id", "rep"), "rep"), "linked-vectors")
-        m = inside.groupBy("component", "label").agg(F.count("*").alias("m"))
+        m = written(inside.groupBy("component", "label").agg(F.count("*").alias("m")), "component-sizes")
 
         def count(pdf: pd.DataFrame) -> pd.DataFrame:
             out = []
