@@ -150,14 +150,16 @@ def near_duplicates(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id",
     sketched = written(map_batches(source, sketches, "doc_id long, n_shingles long, digest binary, bands array<long>"),
                        "sketches")
     found = sketched.filter("doc_id is not null and digest is not null")
-    classes = found.groupBy("digest").agg(F.min("doc_id").alias("rep"))
+    # written, like the buckets below: a join straight to an aggregate could not split a hot key
+    classes = written(found.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
     member = found.select("doc_id", "digest").join(classes, "digest").select("doc_id", "rep")
 
     # band buckets of representatives, with the bucket's smallest id
     banded = (found.join(classes.select(F.col("rep").alias("doc_id"), "digest"), ["doc_id", "digest"], "left_semi")
               .select("doc_id", F.explode("bands").alias("key")))
-    shared = (banded.groupBy("key").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("last"),
-                                        F.count("*").alias("n")).filter("head < last").select("key", "head", "n"))
+    shared = written(banded.groupBy("key").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("last"),
+                                               F.count("*").alias("n"))
+                     .filter("head < last").select("key", "head", "n"), "shared-buckets")
     buckets = written(banded.join(shared, "key"), "buckets")
     edges = _confirmed(source, buckets, percent, words)
     # the copies of a class are linked, too: their ids may link classes where an id is repeated
