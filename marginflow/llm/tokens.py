@@ -6,9 +6,9 @@ count is the sum over its pre-token frequencies.
 1. Every task counts the pre-tokens of its documents; the partial counts are
    summed by pre-token, and the tokenizer counts the pieces of each distinct
    pre-token once.
-2. Frequencies are joined to that vocabulary.  The HEAD most frequent
-   pre-tokens are a broadcast of bounded size, which covers most of the
-   text; only a document's rarer pre-tokens are shuffled to the rest.
+2. Frequencies are joined to that vocabulary.  The most frequent pre-tokens,
+   at most HEAD of them, are a broadcast of bounded size, which covers most of
+   the text; only a document's rarer pre-tokens are shuffled to the rest.
 
 A pre-token here is cut where the byte-level pre-tokenizer always cuts: before
 a single space that is followed by a non-space.
@@ -28,6 +28,8 @@ from marginflow.llm.common import map_batches, prepare, written
 # Most frequent pre-tokens sent to every task: at most HEAD rows of at most
 # UNIT_CHARS code points each.
 HEAD = 400_000
+# Steps of the frequency scale per doubling, on which their cut is chosen.
+_STEPS = 16
 # Longer units hardly repeat; they are counted where they stand.
 UNIT_CHARS = 64
 # Distinct pre-tokens a task holds before it hands on partial counts.
@@ -126,7 +128,15 @@ def count_tokens(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
     distinct = (map_batches(rows.select("text"), vocabulary, "unit string, n long")
                 .groupBy("unit").agg(F.sum("n").alias("n")))
     vocab = written(map_batches(distinct, count, "unit string, n long, pieces int"), "vocabulary")
-    top = vocab.orderBy(F.desc("n"), "unit").limit(head).select("unit", "pieces").toArrow()
+    step = F.floor(F.log2("n") * _STEPS)
+    sizes = {r["step"]: r["size"] for r in vocab.groupBy(step.alias("step")).agg(F.count("*").alias("size")).collect()}
+    cut, taken = None, 0
+    for k in sorted(sizes, reverse=True):
+        taken += sizes[k]
+        if taken > head:
+            break
+        cut = k
+    top = vocab.filter(step >= cut if cut is not None else F.lit(False)).select("unit", "pieces").toArrow()
     shared = spark.sparkContext.broadcast(dict(zip(top["unit"].to_pylist(), top["pieces"].to_pylist())))
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
