@@ -18,7 +18,7 @@ from marginflow.session import ensure_checkpoint_dir
 
 # Rows and bytes of one Arrow batch handed to Python: a worker holds one batch
 # at a time.
-BATCH_ROWS = 2048
+BATCH_ROWS = 1024
 BATCH_BYTES = 8 << 20
 
 

@@ -41,8 +41,8 @@ BANDS = 28
 ROWS = 5
 # Documents of one bucket that meet in one task: at most two blocks.
 BLOCK = 192
-# Distinct words whose hashes a task remembers.
-_CACHE_WORDS = 1 << 20
+# Distinct words whose hashes a worker remembers, from stage to stage.
+_CACHE_WORDS = 1 << 18
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _SEEDS = np.random.default_rng(20240501).integers(1, 2**63, size=4096, dtype=np.uint64) | np.uint64(1)

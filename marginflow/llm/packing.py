@@ -29,9 +29,10 @@ from marginflow.llm.tokens import tokenizer
 
 LIMIT = 4096
 END_ID = 1
-# Distinct words and parts of words whose ids a worker remembers.
-_CACHE_WORDS = 1 << 19
-_CACHE_PARTS = 3 << 18
+# Distinct words and parts of words whose ids a worker remembers.  Workers live
+# on from stage to stage, so what they remember stays small.
+_CACHE_WORDS = 1 << 18
+_CACHE_PARTS = 1 << 18
 _WORDS: dict[str, dict[bytes, bytes]] = {}
 _PARTS: dict[str, dict[bytes, bytes]] = {}
 # Words that fall into letters and others wherever the pre-tokenizer looks:
