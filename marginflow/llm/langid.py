@@ -49,31 +49,36 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_docs
     """Dictionaries by language, most frequent language first, from a bounded
     sample of labelled rows.
 
-    Rows with a null text or language are left out.  ``sample_docs``
-    documents per language (expected; by a hash of the text, so reruns agree)
-    of at most SAMPLE_CHARS code points reach the driver, which keeps
-    ``dict_bytes`` of each language.  An empty table gives an empty model.
+    Rows with a null text or language are left out.  Twice ``sample_docs``
+    distinct texts per language (expected; by a hash of the text, so reruns
+    agree), at least one, of at most SAMPLE_CHARS code points reach the
+    driver, which keeps ``dict_bytes`` of each language.  The rate counts
+    distinct texts: copies neither crowd out a language nor fill its
+    dictionary.  An empty table gives an empty model.
     More than ``max_languages`` languages raise ValueError.
     """
     rows = (labelled.select(F.col(text).alias("t"), F.col(lang).alias("l"))
             .filter(F.col("t").isNotNull() & F.col("l").isNotNull())
             .filter((F.length("t") <= SAMPLE_CHARS) & F.col("t").rlike(r"\p{L}")))
-    counts = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count("*").alias("n"))
-              .limit(max_languages + 1).collect()}
+    span = 1 << 40
+    rows = rows.withColumn("hash", F.xxhash64("t")).withColumn("draw", F.pmod("hash", F.lit(span)))
+    texts = rows.groupBy("l", "hash", "draw").agg(F.count("*").alias("n"))
+    counts = {r["l"]: r for r in texts.groupBy("l").agg(
+        F.sum("n").alias("rows"), F.count("*").alias("texts"), F.min("draw").alias("first"))
+        .limit(max_languages + 1).collect()}
     if len(counts) > max_languages:
         raise ValueError(f"more than {max_languages} languages in the labelled rows")
     if not counts:
         return {}
-    span = 1 << 40
-    draw = F.pmod(F.xxhash64("t"), F.lit(span))
     keep = F.lit(False)
-    for name, n in counts.items():
-        keep = F.when(F.col("l") == name, draw < min(span, math.ceil(2 * sample_docs / n * span))).otherwise(keep)
+    for name, r in counts.items():
+        cut = max(r["first"] + 1, math.ceil(2 * sample_docs / r["texts"] * span))
+        keep = F.when(F.col("l") == name, F.col("draw") < min(span, cut)).otherwise(keep)
     by_lang: dict[str, list[str]] = {}
     for r in rows.filter(keep).select("l", "t").distinct().collect():
         by_lang.setdefault(r["l"], []).append(r["t"])
     model = {}
-    for name in sorted(by_lang, key=lambda x: (-counts[x], x)):
+    for name in sorted(by_lang, key=lambda x: (-counts[x]["rows"], x)):
         texts = sorted(by_lang[name], key=lambda x: (xxhash.xxh64_intdigest(x.encode()), x))
         model[name] = b" ".join(map(fold, texts))[:dict_bytes]
     return model

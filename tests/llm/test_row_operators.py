@@ -100,6 +100,21 @@ def test_language_of_odd_texts(spark):
         langid.fit(labelled, max_languages=1)
 
 
+def test_language_of_many_copies_is_learned(spark):
+    """100,000 rows that are copies of 5 texts beside a language of 400 texts."""
+    copies = spark.range(100_000).select(
+        F.concat(F.lit("der hund und die katze sind nicht im haus nummer "), (F.col("id") % 5).cast("string")).alias("text"),
+        F.lit("de").alias("lang"))
+    single = spark.range(400).select(
+        F.concat(F.lit("the cat sat on the mat with the dog number "), F.col("id").cast("string")).alias("text"),
+        F.lit("en").alias("lang"))
+    model = langid.fit(copies.unionByName(single))
+    assert list(model) == ["de", "en"]
+    assert model["de"].count(b"katze") == 5 and model["en"].count(b"mat") > 200
+    one = langid.fit(copies.unionByName(single), sample_docs=1e-6)
+    assert list(one) == ["de", "en"] and all(one.values())
+
+
 def test_quality_agrees_with_labels(spark):
     labels = spark.read.parquet(f"{SF_CHECK}/labels.parquet")
     out = QUERIES["op4_quality"](spark, SF_CHECK)
