@@ -37,8 +37,9 @@ _WORDS: dict[str, dict[bytes, bytes]] = {}
 _PARTS: dict[str, dict[bytes, bytes]] = {}
 # Words that fall into letters and others wherever the pre-tokenizer looks:
 # ASCII without apostrophes, and precomposed Latin letters (no multiplication
-# or division sign, no special strings).
-_PLAIN = re.compile(rb"(?:[\x00-\x26\x28-\x7f]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|[\xc4-\xc9][\x80-\xbf])*")
+# or division sign, no special strings).  U+0130 is none of them: its lower
+# case ends in a combining mark, which joins the punctuation after it.
+_PLAIN = re.compile(rb"(?:[\x00-\x26\x28-\x7f]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|[\xc5-\xc9][\x80-\xbf])*")
 _RUNS = re.compile(rb"[a-z\x80-\xff]+|[^a-z\x80-\xff]+")
 
 

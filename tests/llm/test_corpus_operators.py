@@ -252,6 +252,14 @@ def test_word_ids_equal_the_library(text):
     assert [ids[a:b].tolist() for a, b in zip([0, *ends], ends)] == want
 
 
+def test_word_ids_of_capital_dotted_i():
+    path = P.path("word_bpe_49k.json")
+    texts = ["ALİ.", "GELDİ,", "İ!", "(İ)", "a.İ-b", "İSTANBUL İLİ"]
+    want = [packing.tokenizer(path)[0].encode(t, add_special_tokens=False).ids for t in texts]
+    ids, ends = packing.word_ids(pa.array(texts, pa.string()), path)
+    assert [ids[a:b].tolist() for a, b in zip([0, *ends], ends)] == want
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_plan_uses_every_slot_once(seed):
     rng = random.Random(seed)
