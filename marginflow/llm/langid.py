@@ -23,11 +23,12 @@ from marginflow.llm.common import map_batches, prepare
 
 UNDETERMINED = "und"
 # Fit: documents drawn per language (expected), longest training text in
-# code points, bytes of one dictionary, most languages a model may hold.
+# code points, bytes of one dictionary.  A model of more than FULL_LANGUAGES
+# languages keeps their bytes and documents in total: each gets a smaller share.
 SAMPLE_DOCS = 160
 SAMPLE_CHARS = 16_384
 DICT_BYTES = 65_536
-MAX_LANGUAGES = 256
+FULL_LANGUAGES = 256
 # Scoring: chunk and zstandard level; a best size that wins by fewer than
 # MIN_MARGIN bytes is a narrow margin.
 CHUNK_BYTES = 4_096
@@ -45,7 +46,7 @@ def fold(text: str) -> bytes:
 
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_docs: int = SAMPLE_DOCS,
-        dict_bytes: int = DICT_BYTES, max_languages: int = MAX_LANGUAGES) -> dict[str, bytes]:
+        dict_bytes: int = DICT_BYTES, max_languages: int | None = None) -> dict[str, bytes]:
     """Dictionaries by language, most frequent language first, from a bounded
     sample of labelled rows.
 
@@ -54,8 +55,11 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_docs
     agree), at least one, of at most SAMPLE_CHARS code points reach the
     driver, which keeps ``dict_bytes`` of each language.  The rate counts
     distinct texts: copies neither crowd out a language nor fill its
-    dictionary.  An empty table gives an empty model.
-    More than ``max_languages`` languages raise ValueError.
+    dictionary.  All languages are learned: beyond FULL_LANGUAGES, documents and
+    dictionary bytes are shared out, so that the model stays within
+    FULL_LANGUAGES * ``dict_bytes``, and at least a byte of each language.  An
+    empty table gives an empty model.  More than ``max_languages`` languages,
+    if given, raise ValueError.
     """
     rows = (labelled.select(F.col(text).alias("t"), F.col(lang).alias("l"))
             .filter(F.col("t").isNotNull() & F.col("l").isNotNull())
@@ -63,19 +67,23 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_docs
     span = 1 << 40
     rows = rows.withColumn("hash", F.xxhash64("t")).withColumn("draw", F.pmod("hash", F.lit(span)))
     texts = rows.groupBy("l", "hash", "draw").agg(F.count("*").alias("n"))
-    counts = {r["l"]: r for r in texts.groupBy("l").agg(
+    counted = texts.groupBy("l").agg(
         F.sum("n").alias("rows"), F.count("*").alias("texts"), F.min("draw").alias("first"))
-        .limit(max_languages + 1).collect()}
-    if len(counts) > max_languages:
+    if max_languages is not None:
+        counted = counted.limit(max_languages + 1)
+    counts = {r["l"]: r for r in counted.collect()}
+    if max_languages is not None and len(counts) > max_languages:
         raise ValueError(f"more than {max_languages} languages in the labelled rows")
     if not counts:
         return {}
-    keep = F.lit(False)
-    for name, r in counts.items():
-        cut = max(r["first"] + 1, math.ceil(2 * sample_docs / r["texts"] * span))
-        keep = F.when(F.col("l") == name, F.col("draw") < min(span, cut)).otherwise(keep)
+    share = min(1.0, FULL_LANGUAGES / len(counts))
+    dict_bytes = max(1, int(dict_bytes * share))
+    cuts = [(name, min(span, max(r["first"] + 1, math.ceil(2 * sample_docs * share / r["texts"] * span))))
+            for name, r in counts.items()]
+    cuts = labelled.sparkSession.createDataFrame(cuts, f"l {rows.schema['l'].dataType.simpleString()}, cut long")
+    drawn = rows.join(F.broadcast(cuts), "l").filter("draw < cut")  # one row per language
     by_lang: dict[str, list[str]] = {}
-    for r in rows.filter(keep).select("l", "t").distinct().collect():
+    for r in drawn.select("l", "t").distinct().collect():
         by_lang.setdefault(r["l"], []).append(r["t"])
     model = {}
     for name in sorted(by_lang, key=lambda x: (-counts[x]["rows"], x)):
@@ -85,36 +93,59 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_docs
 
 
 class Classifier:
-    """Compressors of one fitted model; built once per task."""
-
-    def __init__(self, model: dict[str, bytes], level: int = LEVEL, chunk: int = CHUNK_BYTES):
-        self.chunk = chunk
-        self.coders = []
-        for name, content in model.items():
+    """Compressors of one fitted model; built once per task, or, of more than
+    ``group`` languages, group by group for every batch."""
+
+    def __init__(self, model: dict[str, bytes], level: int = LEVEL, chunk: int = CHUNK_BYTES,
+                 group: int = FULL_LANGUAGES):
+        self.level, self.chunk = level, chunk
+        ranked = [(i, name, content) for i, (name, content) in enumerate(model.items())]
+        self.groups = [ranked[i:i + group] for i in range(0, len(ranked), group)]
+        self.coders = self._coders(self.groups[0]) if len(self.groups) == 1 else []
+
+    def _coders(self, group: list[tuple[int, str, bytes]]) -> list[tuple[int, str, zstandard.ZstdCompressor]]:
+        coders = []
+        for i, name, content in group:
             d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             p = zstandard.ZstdCompressionParameters.from_level(
-                level, source_size=chunk, dict_size=len(content), min_match=3,
+                self.level, source_size=self.chunk, dict_size=len(content), min_match=3,
                 write_content_size=False, write_checksum=False, write_dict_id=False)
             d.precompute_compress(compression_params=p)
-            self.coders.append((name, zstandard.ZstdCompressor(dict_data=d, compression_params=p)))
+            coders.append((i, name, zstandard.ZstdCompressor(dict_data=d, compression_params=p)))
+        return coders
 
-    def sizes(self, folded: bytes) -> list[tuple[int, int, str]]:
+    def sizes(self, folded: bytes, coders: list) -> list[tuple[int, int, str]]:
         """(compressed bytes, rank of the language, language), smallest first."""
         chunks = [folded[i:i + self.chunk] for i in range(0, len(folded), self.chunk)]
-        return sorted((sum(len(c.compress(x)) for x in chunks), i, name)
-                      for i, (name, c) in enumerate(self.coders))
+        return sorted((sum(len(c.compress(x)) for x in chunks), i, name) for i, name, c in coders)
 
-    def predict(self, text: str | None) -> tuple[str, float, int, bool]:
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float, int, bool]]:
         """Language, score, margin in bytes, rejected."""
-        if text is None or not _LETTER.search(text) or not self.coders:
-            return UNDETERMINED, 0.0, 0, True
-        folded = fold(text)
-        found = self.sizes(folded)
-        best = found[0][0]
-        margin = (found[1][0] if len(found) > 1 else best + len(folded)) - best
-        # A byte more is a factor of two: chunk headers make the sizes coarse.
-        score = 1.0 / sum(2.0 ** -min(s - best, 1000) for s, _, _ in found)
-        return found[0][2], score, margin, margin < MIN_MARGIN
+        out = [(UNDETERMINED, 0.0, 0, True)] * len(texts)
+        if not self.groups:
+            return out
+        # per text: best two sizes so far, sum of 2 ** (best - size)
+        found: dict[int, tuple[list[tuple[int, int, str]], float]] = {}
+        usable = [i for i, t in enumerate(texts) if t is not None and _LETTER.search(t)]
+        for group in self.groups:
+            coders = self.coders or self._coders(group)
+            for i in usable:
+                here = self.sizes(fold(texts[i]), coders)
+                best = here[0][0]
+                # A byte more is a factor of two: chunk headers make the sizes coarse.
+                weight = sum(2.0 ** -min(s - best, 1000) for s, _, _ in here)
+                if i in found:
+                    before, w = found[i]
+                    here = sorted(before + here[:2])
+                    low = here[0][0]
+                    weight = (weight * 2.0 ** -min(best - low, 1000)
+                              + w * 2.0 ** -min(before[0][0] - low, 1000))
+                found[i] = here[:2], weight
+        for i, (sizes, weight) in found.items():
+            best = sizes[0][0]
+            margin = (sizes[1][0] if len(sizes) > 1 else best + len(fold(texts[i]))) - best
+            out[i] = sizes[0][2], 1.0 / weight, margin, margin < MIN_MARGIN
+        return out
 
 
 def identify(docs: DataFrame, model: dict[str, bytes], keep: list[Column], keep_schema: str,
@@ -129,12 +160,12 @@ def identify(docs: DataFrame, model: dict[str, bytes], keep: list[Column], keep_
     """
     prepare(docs.sparkSession)
     n_keep = len(keep)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_LANGUAGES * DICT_BYTES
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most FULL_LANGUAGES * DICT_BYTES and names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classifier = Classifier(shared.value)
         for b in batches:
-            out = [classifier.predict(t) for t in b.column(n_keep).to_pylist()]
+            out = classifier.predict(b.column(n_keep).to_pylist())
             lang, score, margin, rejected = zip(*out) if out else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[:n_keep], pa.array(lang, pa.string()), pa.array(score, pa.float64()),

@@ -115,6 +115,19 @@ def test_language_of_many_copies_is_learned(spark):
     assert list(one) == ["de", "en"] and all(one.values())
 
 
+def test_more_languages_than_full_dictionaries(spark, monkeypatch):
+    monkeypatch.setattr(langid, "FULL_LANGUAGES", 40)
+    syllable = ["ka", "lo", "mi", "tu", "re", "sa", "no"]
+    word = lambda i: "".join(syllable[(i // 7 ** k) % 7] for k in range(4))
+    rows = [(f"{word(i * 8 + 1)} {word(i * 8 + 5)} {word(i * 8 + 3)} " * 9 + "x" * j, f"l{i}") for i in range(300) for j in range(4)]
+    model = langid.fit(spark.createDataFrame(rows, "text string, lang string"), dict_bytes=3000)
+    assert len(model) == 300 and sum(map(len, model.values())) <= 40 * 3000 and all(model.values())
+    texts = [rows[4 * i][0] for i in range(0, 300, 7)] + [None, ""]
+    split = langid.Classifier(model, group=40).predict(texts)
+    assert split == langid.Classifier(model, group=300).predict(texts)
+    assert [p[0] for p in split[:-2]] == [f"l{i}" for i in range(0, 300, 7)]
+
+
 def test_quality_agrees_with_labels(spark):
     labels = spark.read.parquet(f"{SF_CHECK}/labels.parquet")
     out = QUERIES["op4_quality"](spark, SF_CHECK)
