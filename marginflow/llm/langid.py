@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from marginflow.llm.common import map_batches, prepare
 
 UNDETERMINED = "und"
-# Fit: documents drawn per language (expected), longest training text in
-# code points, bytes of one dictionary.  A model of more than FULL_LANGUAGES
+# Fit: documents drawn per language (expected), code points of a drawn text
+# from its first letter on, bytes of one dictionary.  A model of more than FULL_LANGUAGES
 # languages keeps their bytes and documents in total: each gets a smaller share.
 SAMPLE_DOCS = 160
 SAMPLE_CHARS = 16_384
@@ -52,10 +52,12 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_docs
 
     Rows with a null text or language are left out.  Twice ``sample_docs``
     distinct texts per language (expected; by a hash of the text, so reruns
-    agree), at least one, of at most SAMPLE_CHARS code points reach the
-    driver, which keeps ``dict_bytes`` of each language.  The rate counts
-    distinct texts: copies neither crowd out a language nor fill its
-    dictionary.  All languages are learned: beyond FULL_LANGUAGES, documents and
+    agree), at least one, reach the driver, which keeps ``dict_bytes`` of
+    each language.  The rate counts distinct texts: copies neither crowd out
+    a language nor fill its dictionary.  Texts of any length are drawn; of one
+    over SAMPLE_CHARS code points, that many from its first letter on are used,
+    and where texts are long, fewer are drawn, about 8 * ``dict_bytes`` code
+    points per language.  All languages are learned: beyond FULL_LANGUAGES, documents and
     dictionary bytes are shared out, so that the model stays within
     FULL_LANGUAGES * ``dict_bytes``, and at least a byte of each language.  An
     empty table gives an empty model.  More than ``max_languages`` languages,
@@ -63,12 +65,13 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_docs
     """
     rows = (labelled.select(F.col(text).alias("t"), F.col(lang).alias("l"))
             .filter(F.col("t").isNotNull() & F.col("l").isNotNull())
-            .filter((F.length("t") <= SAMPLE_CHARS) & F.col("t").rlike(r"\p{L}")))
+            .filter(F.col("t").rlike(r"\p{L}")))
     span = 1 << 40
     rows = rows.withColumn("hash", F.xxhash64("t")).withColumn("draw", F.pmod("hash", F.lit(span)))
-    texts = rows.groupBy("l", "hash", "draw").agg(F.count("*").alias("n"))
+    used = F.least(F.length("t"), F.lit(SAMPLE_CHARS)).cast("long")
+    texts = rows.groupBy("l", "hash", "draw").agg(F.count("*").alias("n"), F.max(used).alias("chars"))
     counted = texts.groupBy("l").agg(
-        F.sum("n").alias("rows"), F.count("*").alias("texts"), F.min("draw").alias("first"))
+        F.sum("n").alias("rows"), F.count("*").alias("texts"), F.sum("chars").alias("chars"), F.min("draw").alias("first"))
     if max_languages is not None:
         counted = counted.limit(max_languages + 1)
     counts = {r["l"]: r for r in counted.collect()}
@@ -78,12 +81,15 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_docs
         return {}
     share = min(1.0, FULL_LANGUAGES / len(counts))
     dict_bytes = max(1, int(dict_bytes * share))
-    cuts = [(name, min(span, max(r["first"] + 1, math.ceil(2 * sample_docs * share / r["texts"] * span))))
-            for name, r in counts.items()]
+    cuts = []
+    for name, r in counts.items():
+        rate = min(2 * sample_docs * share / r["texts"], 8 * dict_bytes / r["chars"])
+        cuts.append((name, min(span, max(r["first"] + 1, math.ceil(rate * span)))))
     cuts = labelled.sparkSession.createDataFrame(cuts, f"l {rows.schema['l'].dataType.simpleString()}, cut long")
     drawn = rows.join(F.broadcast(cuts), "l").filter("draw < cut")  # one row per language
     by_lang: dict[str, list[str]] = {}
-    for r in drawn.select("l", "t").distinct().collect():
+    lead = F.when(F.length("t") > SAMPLE_CHARS, F.regexp_replace("t", r"^\P{L}+", "")).otherwise(F.col("t"))
+    for r in drawn.select("l", F.substring(lead, 1, SAMPLE_CHARS).alias("t")).distinct().collect():
         by_lang.setdefault(r["l"], []).append(r["t"])
     model = {}
     for name in sorted(by_lang, key=lambda x: (-counts[x]["rows"], x)):

@@ -128,6 +128,18 @@ def test_more_languages_than_full_dictionaries(spark, monkeypatch):
     assert [p[0] for p in split[:-2]] == [f"l{i}" for i in range(0, 300, 7)]
 
 
+def test_language_of_long_texts_only_is_learned(spark):
+    long = "1234 " * 5_000 + "der hund und die katze sind nicht im haus " * 2_000
+    rows = [(long, "de"), ("the cat sat on the mat with the dog " * 5, "en"), ("the house is on the hill " * 5, "en")]
+    model = langid.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert list(model) == ["en", "de"]
+    assert model["de"].startswith(b"der hund") and len(model["de"]) <= langid.SAMPLE_CHARS
+    assert langid.Classifier(model).predict(["die katze ist im haus und der hund nicht"])[0][0] == "de"
+    many = [(f"{chr(97 + i % 26)}{chr(97 + i // 26)} " + "das haus am see " * 1_500, "de") for i in range(400)]
+    model = langid.fit(spark.createDataFrame(many, "text string, lang string"))
+    assert len(model["de"]) == langid.DICT_BYTES
+
+
 def test_quality_agrees_with_labels(spark):
     labels = spark.read.parquet(f"{SF_CHECK}/labels.parquet")
     out = QUERIES["op4_quality"](spark, SF_CHECK)
