@@ -3,12 +3,13 @@
 A raw-content zstandard dictionary is cut for every language from labelled
 text.  A text is compressed once with each dictionary, in chunks so that the
 dictionary stays in reach of long texts, and gets the language whose
-dictionary gives the smallest size.  Where the best two sizes are too close
-the prediction is rejected.
+dictionary gives the smallest size.  Where the best two sizes are too close,
+measured against the smallest, the prediction is rejected.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -30,10 +31,16 @@ SAMPLE_CHARS = 16_384
 DICT_BYTES = 65_536
 FULL_LANGUAGES = 256
 # Scoring: chunk and zstandard level; a best size that wins by fewer than
-# MIN_MARGIN bytes is a narrow margin.
+# MIN_MARGIN bytes, or by less than its language's cut (a share of the best
+# size), is a narrow margin.  The cut is CUT_SHARE of the CUT_QUANTILE of the
+# clean margins, fitted on at most CUT_DOCS texts and CUT_SIZES compressions.
 CHUNK_BYTES = 4_096
 LEVEL = 5
 MIN_MARGIN = 1
+CUT_SHARE = 0.5
+CUT_QUANTILE = 0.01
+CUT_DOCS = 1024
+CUT_SIZES = 1 << 18
 
 _LETTER = regex.compile(r"\p{L}")
 # Everything in ASCII but letters becomes a space: junk symbols, digits and
@@ -45,8 +52,16 @@ def fold(text: str) -> bytes:
     return b" ".join(text.lower().encode("utf-8", "replace").translate(_FOLD).split())
 
 
+class Model(dict):
+    """Dictionaries by language, and the cut of each language that has one."""
+
+    def __init__(self, *args):
+        super().__init__(*args)
+        self.cuts: dict[str, float] = {}
+
+
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_docs: int = SAMPLE_DOCS,
-        dict_bytes: int = DICT_BYTES, max_languages: int | None = None) -> dict[str, bytes]:
+        dict_bytes: int = DICT_BYTES, max_languages: int | None = None) -> Model:
     """Dictionaries by language, most frequent language first, from a bounded
     sample of labelled rows.
 
@@ -61,7 +76,8 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_docs
     dictionary bytes are shared out, so that the model stays within
     FULL_LANGUAGES * ``dict_bytes``, and at least a byte of each language.  An
     empty table gives an empty model.  More than ``max_languages`` languages,
-    if given, raise ValueError.
+    if given, raise ValueError.  Drawn texts beyond the dictionaries set
+    the cut of each language's relative margin.
     """
     rows = (labelled.select(F.col(text).alias("t"), F.col(lang).alias("l"))
             .filter(F.col("t").isNotNull() & F.col("l").isNotNull())
@@ -78,7 +94,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_docs
     if max_languages is not None and len(counts) > max_languages:
         raise ValueError(f"more than {max_languages} languages in the labelled rows")
     if not counts:
-        return {}
+        return Model()
     share = min(1.0, FULL_LANGUAGES / len(counts))
     dict_bytes = max(1, int(dict_bytes * share))
     cuts = []
@@ -91,13 +107,29 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_docs
     lead = F.when(F.length("t") > SAMPLE_CHARS, F.regexp_replace("t", r"^\P{L}+", "")).otherwise(F.col("t"))
     for r in drawn.select("l", F.substring(lead, 1, SAMPLE_CHARS).alias("t")).distinct().collect():
         by_lang.setdefault(r["l"], []).append(r["t"])
-    model = {}
+    model, spare = Model(), {}
     for name in sorted(by_lang, key=lambda x: (-counts[x]["rows"], x)):
         texts = sorted(by_lang[name], key=lambda x: (xxhash.xxh64_intdigest(x.encode()), x))
-        model[name] = b" ".join(map(fold, texts))[:dict_bytes]
+        folded = [fold(t) for t in texts]
+        model[name] = b" ".join(folded)[:dict_bytes]
+        ends = itertools.accumulate(len(f) + 1 for f in folded)
+        spare[name] = [t for t, f, end in zip(texts, folded, ends) if end - len(f) - 1 >= dict_bytes]
+    model.cuts = _fit_cuts(model, spare)
     return model
 
 
+def _fit_cuts(model: Model, spare: dict[str, list[str]]) -> dict[str, float]:
+    """Cuts of the languages from labelled texts that are in no dictionary; a
+    language without such a text gets none."""
+    each = max(1, min(CUT_DOCS, CUT_SIZES // len(model)) // len(model))
+    texts = [(name, t) for name, own in spare.items() for t in own[:each]][:max(1, CUT_SIZES // len(model))]
+    margins: dict[str, list[float]] = {}
+    for (name, _), (found, _, _, rejected, share) in zip(texts, Classifier(model).measure([t for _, t in texts])):
+        if found == name and not rejected:
+            margins.setdefault(name, []).append(share)
+    return {name: CUT_SHARE * sorted(m)[int(CUT_QUANTILE * len(m))] for name, m in margins.items()}
+
+
 class Classifier:
     """Compressors of one fitted model; built once per task, or, of more than
     ``group`` languages, group by group for every batch."""
@@ -105,6 +137,7 @@ class Classifier:
     def __init__(self, model: dict[str, bytes], level: int = LEVEL, chunk: int = CHUNK_BYTES,
                  group: int = FULL_LANGUAGES):
         self.level, self.chunk = level, chunk
+        self.cuts = getattr(model, "cuts", {})
         ranked = [(i, name, content) for i, (name, content) in enumerate(model.items())]
         self.groups = [ranked[i:i + group] for i in range(0, len(ranked), group)]
         self.coders = self._coders(self.groups[0]) if len(self.groups) == 1 else []
@@ -127,7 +160,11 @@ class Classifier:
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, int, bool]]:
         """Language, score, margin in bytes, rejected."""
-        out = [(UNDETERMINED, 0.0, 0, True)] * len(texts)
+        return [p[:4] for p in self.measure(texts)]
+
+    def measure(self, texts: list[str | None]) -> list[tuple[str, float, int, bool, float]]:
+        """``predict``, and the margin as a share of the best size."""
+        out = [(UNDETERMINED, 0.0, 0, True, 0.0)] * len(texts)
         if not self.groups:
             return out
         # per text: best two sizes so far, sum of 2 ** (best - size)
@@ -150,7 +187,8 @@ class Classifier:
         for i, (sizes, weight) in found.items():
             best = sizes[0][0]
             margin = (sizes[1][0] if len(sizes) > 1 else best + len(fold(texts[i]))) - best
-            out[i] = sizes[0][2], 1.0 / weight, margin, margin < MIN_MARGIN
+            share, name = margin / max(1, best), sizes[0][2]
+            out[i] = name, 1.0 / weight, margin, margin < MIN_MARGIN or share < self.cuts.get(name, 0.0), share
         return out
 
 
@@ -161,7 +199,8 @@ def identify(docs: DataFrame, model: dict[str, bytes], keep: list[Column], keep_
 
     A null text, or one without a letter, gives ``und``, score 0, rejected.
     An empty model gives ``und`` for every row.  Ties go to the
-    language that is most frequent in training and are rejected (margin 0).  Only the text
+    language that is most frequent in training and are rejected (margin 0), as is
+    a margin that is a smaller share of the best size than the language's cut.  Only the text
     is an input of the prediction; whole texts are read, in chunks.
     """
     prepare(docs.sparkSession)

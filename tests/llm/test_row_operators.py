@@ -140,6 +140,17 @@ def test_language_of_long_texts_only_is_learned(spark):
     assert len(model["de"]) == langid.DICT_BYTES
 
 
+def test_language_that_was_not_learned_is_rejected(spark):
+    """Long French texts win by a few bytes in 1,000 only; clean ones stay."""
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet").filter(F.length("text") > 300).select("text", "lang")
+    model = langid.fit(docs.filter("lang <> 'fr' and crc32(text) % 4 <> 2"))
+    rows = docs.filter("crc32(text) % 4 = 2").collect()
+    gone = lambda lang: [p[3] for p in langid.Classifier(model).predict([r.text for r in rows if (r.lang == "fr") == lang][:200])]
+    strange, clean = gone(True), gone(False)
+    assert len(strange) > 20 and sum(strange) > 0.7 * len(strange)
+    assert sum(clean) < 0.02 * len(clean)
+
+
 def test_quality_agrees_with_labels(spark):
     labels = spark.read.parquet(f"{SF_CHECK}/labels.parquet")
     out = QUERIES["op4_quality"](spark, SF_CHECK)
