@@ -12,6 +12,7 @@ repeated rows and empty tables; the stages add:
   language is undetermined or whose margin is narrow go.
 * exact and near duplicates: of each group the row with the smallest doc_id
   stays; rows without an id stay; rows that repeat the staying id all stay.
+  An exact copy goes by its id and text: another text under its id stays.
 * mixing: a row is repeated as often as the mix takes it, or goes.
 * packing: one row per piece.
 """
@@ -43,8 +44,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = docs.select(*COLUMNS)
-    gone = trie.exact_duplicates(docs, keep="min").filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    gone = trie.exact_duplicates(docs, keep="min").filter(~F.col("kept")).select("doc_id", "text_sha256").distinct()
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    key = F.translate(F.coalesce("text", F.lit("")), upper, upper.lower())  # as trie.normalise
+    return (docs.withColumn("text_sha256", F.sha2(key.cast("binary"), 256))
+            .join(gone, ["doc_id", "text_sha256"], "left_anti").select(*COLUMNS))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -50,6 +50,14 @@ def test_exact_stage_keeps_the_smallest_id(stages):
     assert sorted(rows_of(stages["exact_dedup"])) == sorted(min(g) for g in groups.values())
 
 
+def test_exact_stage_drops_a_row_by_its_own_text(spark):
+    rows = [(1, "a Ä"), (5, "A Ä"), (5, "b"), (5, None), (7, ""), (None, "b"), (9, "B")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    out = [r[:2] for r in rows_of(corpus_pipeline.drop_exact_copies(spark, docs, SF_SMALL))]
+    assert sorted(map(str, out)) == sorted(map(str, [(1, "a Ä"), (5, "b"), (5, None), (None, "b")]))
+
+
 def test_near_stage_keeps_one_of_each_group(stages):
     rows = rows_of(stages["exact_dedup"])
     component, _ = brute_components({r[0]: r[1] for r in rows}, 80)
