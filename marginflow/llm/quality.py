@@ -146,13 +146,18 @@ def _fit_scorer(texts: list[str], target: np.ndarray) -> dict:
     return {"words": w, "dense": d}
 
 
+def _drawn(texts: DataFrame, rate: int, span: int) -> DataFrame:
+    """Distinct texts whose hash is below the rate."""
+    return texts.filter(F.pmod(F.xxhash64("t", F.lit(13)), F.lit(span)) < rate).distinct()
+
+
 def fit(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS) -> dict | None:
     """Labeller accuracies over all documents and a scorer from a bounded
     sample; None for an empty table.
 
-    The pattern counts read every whole text.  ``sample_docs`` documents
+    The pattern counts read every whole text.  ``sample_docs`` distinct texts
     (expected; by a hash of the text, so reruns agree) of at most SAMPLE_CHARS
-    code points reach the driver.
+    code points reach the driver, each once however many copies it has.
     """
     prepare(docs.sparkSession)
     texts = docs.select(F.coalesce(F.col(text), F.lit("")).alias("t"))
@@ -171,8 +176,10 @@ def fit(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS) ->
         return None
     model = estimate(counts)
     span = 1 << 40
-    rate = min(span, math.ceil(sample_docs / total * span))
-    rows = texts.filter((F.length("t") <= SAMPLE_CHARS) & (F.pmod(F.xxhash64("t", F.lit(13)), F.lit(span)) < rate))
+    short = texts.filter(F.length("t") <= SAMPLE_CHARS)
+    n_texts = short.select(F.xxhash64("t", F.lit(13)).alias("hash")).distinct().count()
+    rate = min(span, math.ceil(sample_docs / max(1, n_texts) * span))
+    rows = _drawn(short, rate, span)
     sample = sorted({(xxhash.xxh64_intdigest(r["t"].encode(), 2), r["t"]) for r in rows.collect()})
     own = [t for _, t in sample] or [""]
     target = np.array([model["posterior"].get(pattern(t), model["prior"]) for t in own])

@@ -162,6 +162,21 @@ def test_quality_agrees_with_labels(spark):
     assert sum(r.predicted == r.quality for r in rows) / len(rows) > 0.93
 
 
+def test_quality_sample_counts_a_text_once(spark, monkeypatch):
+    """40,000 copies of one text beside 100 texts, asked for 60: all of them
+    would be drawn too rarely by rows, and copies would reach the driver."""
+    copies = spark.range(40_000).select(F.lit("a large group of copies of this text").alias("text"))
+    df = copies.unionByName(spark.range(100).select(F.concat(F.lit("plain words number "), F.col("id").cast("string")).alias("text")))
+    used, scorer, collect = [], quality._fit_scorer, type(df).collect
+    monkeypatch.setattr(quality, "_fit_scorer", lambda own, target: used.append(len(own)) or scorer(own, target))
+    sent = []
+    monkeypatch.setattr(type(df), "collect", lambda self: sent.append(collect(self)) or sent[-1])
+    quality.fit(df, sample_docs=60)
+    assert 30 < used[0] < 90
+    quality.fit(df, sample_docs=100_000)
+    assert used[1] == 101 and max(map(len, sent)) == 101
+
+
 def test_estimated_accuracies_follow_the_labellers():
     """EM on votes of simulated labellers ranks a reliable above a weak one."""
     import numpy as np
