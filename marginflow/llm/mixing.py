@@ -18,7 +18,8 @@ WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 SEED = 7
 # Hash buckets of the seeded order: only the bucket in which a source's rest
-# ends is put in order, about 1/4096 of the source.
+# ends is put in order, about 1/4096 of the source's ids.  Rows that share id
+# and size count as one there, and those at the end are numbered task by task.
 _BUCKET_DIGITS = 3
 
 
@@ -88,9 +89,30 @@ def mix(docs: DataFrame, payload: Column, doc_id: str = "doc_id", text: str = "t
     placed = rows.join(plan, F.col("source").eqNullSafe(F.col("s")))
     clear = placed.filter("end is null or bucket <> end").withColumn(
         "extra", F.when(F.col("bucket") < F.col("end"), F.col("size")).otherwise(F.lit(0)).cast("long"))
-    order = Window.partitionBy("source").orderBy("u", "size").rowsBetween(Window.unboundedPreceding, -1)
-    left = F.col("rest") - F.col("before") - F.coalesce(F.sum("size").over(order), F.lit(0))
-    last = placed.filter("bucket = end").withColumn("extra", F.least(F.col("size"), F.greatest(left, F.lit(0))).cast("long"))
+    # inside the last bucket: rows of one id and size are equal to the order
+    same = written(placed.filter("bucket = end").groupBy("s", "rest", "before", "u", "size").agg(F.count("*").alias("n")),
+                   "mix-same")
+    order = Window.partitionBy("s").orderBy("u", "size").rowsBetween(Window.unboundedPreceding, 0)
+    turn = written(same.withColumn("upto", F.col("before") + F.sum(F.col("n") * F.col("size")).over(order))
+                   .filter("upto > rest").groupBy("s")
+                   .agg(F.min(F.struct("u", "size", (F.col("upto") - F.col("n") * F.col("size")).alias("ahead"))).alias("at"))
+                   .select(F.col("s").alias("turn_source"), F.col("at.u").alias("turn_u"),
+                           F.col("at.size").alias("turn_size"), F.col("at.ahead").alias("ahead")), "mix-turn")
+    ending = placed.filter("bucket = end").join(turn, F.col("s").eqNullSafe(F.col("turn_source")))
+    off = ending.filter("u <> turn_u or size <> turn_size").withColumn(
+        "extra", F.when(F.struct("u", "size") < F.struct("turn_u", "turn_size"), F.col("size")).otherwise(F.lit(0)).cast("long"))
+    # the rows at the turn, each with the task that wrote it
+    at = written(ending.filter("u = turn_u and size = turn_size").withColumn("task", F.spark_partition_id()), "mix-last")
+    earlier = Window.partitionBy("task_source").orderBy("task_no").rowsBetween(Window.unboundedPreceding, 0)
+    tasks = written(at.groupBy(F.col("s").alias("task_source"), F.col("task").alias("task_no")).agg(F.count("*").alias("n"))
+                    .withColumn("earlier", F.sum("n").over(earlier) - F.col("n")), "mix-tasks")
+    place = F.row_number().over(Window.partitionBy("s", "task").orderBy(F.xxhash64("payload"))) - 1
+    left = F.col("rest") - F.col("ahead") - (F.col("earlier") + F.col("place")) * F.col("size")
+    last = (at.withColumn("place", place)
+            .join(tasks, F.col("s").eqNullSafe(F.col("task_source")) & (F.col("task") == F.col("task_no")))
+            .withColumn("extra", F.least(F.col("size"), F.greatest(left, F.lit(0))).cast("long")))
+    columns = ["payload", "size", "source_size", "target", "whole", "extra"]
+    clear, last = clear.select(*columns), off.select(*columns).unionByName(last.select(*columns))
     return (clear.unionByName(last)
             .select("payload", "size", "source_size", "target",
                     (F.col("whole") * F.col("size") + F.col("extra")).alias("taken"),

@@ -335,6 +335,25 @@ def test_mixing_targets_and_odd_rows(spark):
     assert mixing.mix(frame(spark, rows).limit(0), F.col("doc_id")).count() == 0
 
 
+def test_mixing_of_rows_without_id_is_not_one_task(spark):
+    """All rows of a source share one seed: they are numbered in parts."""
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    rows = [(None, f"w{i} " * (1 + i % 3), "a") for i in range(3000)] + [(i, "w " * 9, "b") for i in range(100)]
+    rows += [(None, "v " * 2, "a")] * 3000
+    df = frame(spark, rows).repartition(8)
+    for narrow in (True, False):
+        mixed = mixing.mix(df, F.struct("doc_id", "text"), narrow=narrow)
+        windows = [line for line in mixed._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [" in line]
+        assert windows and all("task#" in line and " u#" not in line for line in windows)
+        out = mixed.collect()
+        assert len(out) == len(rows)
+        for s in "ab":
+            own = [r for r in out if (r.payload.doc_id is None) == (s == "a")]
+            assert abs(sum(r.taken for r in own) - own[0].target) <= 0.5
+            n_part = sum(r.taken % r.size != 0 for r in own)
+            assert n_part <= 1
+
+
 def test_mixing_has_no_python_in_its_plan(spark):
     plan = QUERIES["op9_mixing"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
