@@ -68,8 +68,42 @@ SELECT doc_id, size, source_size, target,
 FROM c
 """
 
+_DECONTAMINATE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS number, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark
+), spread AS (
+  SELECT item_id, words, least(10, len(words)) AS n, unnest(range(0, len(words) - least(10, len(words)) + 1)) AS at
+  FROM b WHERE len(words) > 0
+), windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(words[at + 1 : at + n], ' ') AS phrase FROM spread
+), places AS (
+  SELECT number, words, n, unnest(range(0, len(words) - n + 1)) AS at
+  FROM d, (SELECT DISTINCT n FROM windows) WHERE len(words) >= n
+), seen AS (
+  SELECT number, n, at, array_to_string(words[at + 1 : at + n], ' ') AS phrase FROM places
+), hits AS (
+  SELECT s.number, s.at, s.n, w.item_id FROM seen s JOIN windows w ON s.phrase = w.phrase AND s.n = w.n
+), covered AS (
+  SELECT number, count(*) AS n_hit FROM (SELECT DISTINCT number, unnest(range(at, at + n)) FROM hits) GROUP BY number
+), listed AS (
+  SELECT number, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT number, item_id::VARCHAR AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY number
+)
+SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(c.n_hit, 0)::BIGINT AS n_hit,
+       coalesce(l.n_items, 0)::BIGINT AS n_items, sha256(coalesce(l.items, '')) AS items_sha256,
+       c.n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN covered c ON d.number = c.number LEFT JOIN listed l ON d.number = l.number
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_line_dedup": _LINES,
     "op6_exact_dedup": _EXACT,
     "op9_mixing": _MIX,
+    "op12_decontaminate": _DECONTAMINATE,
 }

@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginflow.llm import langid, lattice, lines, minhash, mixing, packing, quality, tokens, toxicity, trie
+from marginflow.llm import (decontaminate, langid, lattice, lines, minhash, mixing, packing, quality, tokens, toxicity,
+                            trie)
 from marginflow.llm.common import documents, is_held_out, table
 from marginflow.llm.oracle import ORACLE_SQL  # noqa: F401  (part of this module's interface)
 
@@ -72,6 +73,10 @@ def op10_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_langid, op2_token_counts, op3_line_dedup, op4_quality, op5_minhash, op6_exact_dedup,
-                            op7_packing, op8_toxicity, op9_mixing, op10_lattice)}
+                            op7_packing, op8_toxicity, op9_mixing, op10_lattice, op12_decontaminate)}
