@@ -78,19 +78,19 @@ WITH d AS (
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
   FROM benchmark
 ), spread AS (
-  SELECT item_id, words, least(10, len(words)) AS n, unnest(range(0, len(words) - least(10, len(words)) + 1)) AS at
+  SELECT item_id, words, least(10, len(words)) AS n, unnest(range(0, len(words) - least(10, len(words)) + 1)) AS pos
   FROM b WHERE len(words) > 0
 ), windows AS (
-  SELECT DISTINCT item_id, n, array_to_string(words[at + 1 : at + n], ' ') AS phrase FROM spread
+  SELECT DISTINCT item_id, n, array_to_string(words[pos + 1 : pos + n], ' ') AS phrase FROM spread
 ), places AS (
-  SELECT number, words, n, unnest(range(0, len(words) - n + 1)) AS at
+  SELECT number, words, n, unnest(range(0, len(words) - n + 1)) AS pos
   FROM d, (SELECT DISTINCT n FROM windows) WHERE len(words) >= n
 ), seen AS (
-  SELECT number, n, at, array_to_string(words[at + 1 : at + n], ' ') AS phrase FROM places
+  SELECT number, n, pos, array_to_string(words[pos + 1 : pos + n], ' ') AS phrase FROM places
 ), hits AS (
-  SELECT s.number, s.at, s.n, w.item_id FROM seen s JOIN windows w ON s.phrase = w.phrase AND s.n = w.n
+  SELECT s.number, s.pos, s.n, w.item_id FROM seen s JOIN windows w ON s.phrase = w.phrase AND s.n = w.n
 ), covered AS (
-  SELECT number, count(*) AS n_hit FROM (SELECT DISTINCT number, unnest(range(at, at + n)) FROM hits) GROUP BY number
+  SELECT number, count(*) AS n_hit FROM (SELECT DISTINCT number, unnest(range(pos, pos + n)) FROM hits) GROUP BY number
 ), listed AS (
   SELECT number, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
   FROM (SELECT DISTINCT number, item_id::VARCHAR AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY number
@@ -101,9 +101,32 @@ SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(c.n_hit, 0)::BIGINT A
 FROM d LEFT JOIN covered c ON d.number = c.number LEFT JOIN listed l ON d.number = l.number
 """
 
+_HARD_NEGATIVES = """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM r a JOIN r b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT anchor_id, positive_id, row_number() OVER w AS rank, other_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)
+QUALIFY row_number() OVER w <= 3
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_line_dedup": _LINES,
     "op6_exact_dedup": _EXACT,
     "op9_mixing": _MIX,
     "op12_decontaminate": _DECONTAMINATE,
+    "op13_hard_negatives": _HARD_NEGATIVES,
 }

@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginflow.llm import (decontaminate, langid, lattice, lines, minhash, mixing, packing, quality, tokens, toxicity,
-                            trie)
+from marginflow.llm import (decontaminate, hardneg, langid, lattice, lines, minhash, mixing, packing, quality, tokens,
+                            toxicity, trie, whitening)
 from marginflow.llm.common import documents, is_held_out, table
 from marginflow.llm.oracle import ORACLE_SQL  # noqa: F401  (part of this module's interface)
 
@@ -73,10 +73,21 @@ def op10_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors))
+
+
 def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(table(spark, sf_dir, "embeddings"), is_anchor=F.col("vec_id") % 50 == 0, label=moved)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_langid, op2_token_counts, op3_line_dedup, op4_quality, op5_minhash, op6_exact_dedup,
-                            op7_packing, op8_toxicity, op9_mixing, op10_lattice, op12_decontaminate)}
+                            op7_packing, op8_toxicity, op9_mixing, op10_lattice, op11_whitening,
+                            op12_decontaminate, op13_hard_negatives)}

@@ -110,7 +110,7 @@ def test_stages_take_odd_rows(spark):
 
 def test_entry_registers_every_operator():
     names = set(E.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names and corpus_pipeline.ORACLE_SQL is None
     assert set(E.oracle_sql()) <= names
