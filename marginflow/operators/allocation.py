@@ -11,10 +11,10 @@ Plan shape (no window function, so no entity is ever gathered in one task):
   aggregation); the lifetime totals roll the same relations up, and because
   the day is compared null-safely, no filter tells the two uses apart: Spark
   reuses one exchange for both;
-* facts LEFT JOIN daily on (entity, day): a sort-merge join whose skewed
-  partitions AQE splits, or a broadcast when AQE measures ``daily`` small;
-* facts LEFT JOIN totals on entity: one row per entity, broadcast only if
-  Spark measures it small.
+* the totals are joined to the daily rows (one row per entity and day), then
+  facts LEFT JOIN daily on (entity, day): the facts are dealt out once, by a
+  key that spreads a hot entity over its days; a sort-merge join whose skewed
+  partitions AQE splits, or a broadcast when AQE measures ``daily`` small.
 
 Equi-joins never match NULL keys: a fact row with a NULL day gets no day
 values (lifetime tier only) and a NULL entity gets nothing.
@@ -54,21 +54,38 @@ def roll_up(daily: DataFrame, entity: str, value: str, alias: str) -> DataFrame:
 def allocate_two_tier(facts: DataFrame, day_weight: DataFrame, day_cost: DataFrame, *,
                       entity: str = "client_id", day: str = "report_date",
                       weight: str = "ad_spend_eur",
-                      cols: AllocationColumns = AllocationColumns()) -> DataFrame:
+                      cols: AllocationColumns = AllocationColumns(), co_located: bool = False) -> DataFrame:
     """Allocate ``day_cost`` over ``facts`` by ``weight``.
 
     ``day_weight``: (entity, day, cols.day_weight), the facts' weight summed
     per entity and day; ``day_cost``: (entity, day, cols.day_cost).
+
+    ``co_located``: the facts, and what weight and cost are summed from, are
+    dealt out by (entity, day) already (tables bucketed by both).  Days are then
+    compared by plain equality, so the facts need no exchange; facts without a
+    day, which only have the totals, are joined to them on their own.
     """
     total_weight = roll_up(day_weight, entity, cols.day_weight, cols.total_weight)
     total_cost = roll_up(day_cost, entity, cols.day_cost, cols.total_cost)
-    totals = total_weight.join(total_cost, entity, "left")
+    totals = (total_weight.join(total_cost, entity, "left")
+              .select(F.col(entity).alias("_all"), cols.total_weight, cols.total_cost))
+    same = (lambda a, b: F.col(a) == F.col(b)) if co_located else (lambda a, b: F.col(a).eqNullSafe(F.col(b)))
+    # the totals travel with the daily rows (a NULL day has one, too), so the
+    # facts meet both tiers in one join
     cost = day_cost.select(F.col(entity).alias("_entity"), F.col(day).alias("_day"), cols.day_cost)
-    daily = (day_weight.join(cost, (F.col(entity) == F.col("_entity")) & F.col(day).eqNullSafe(F.col("_day")), "left")
-             .select(F.col(entity).alias("_of"), F.col(day).alias("_on"), cols.day_weight, cols.day_cost))
-    same_day = F.col(day).eqNullSafe(F.col("_on")) & F.col(day).isNotNull()
-    joined = facts.join(daily, (F.col(entity) == F.col("_of")) & same_day, "left").drop("_of", "_on")
-    joined = joined.join(totals, entity, "left")
+    daily = (day_weight.join(cost, (F.col(entity) == F.col("_entity")) & same(day, "_day"), "left")
+             .join(totals, F.col(entity) == F.col("_all"), "left")
+             .select(F.col(entity).alias("_of"), F.col(day).alias("_on"),
+                     *[F.when(F.col(day).isNotNull(), F.col(c)).alias(c) for c in (cols.day_weight, cols.day_cost)],
+                     cols.total_weight, cols.total_cost))
+    met = (F.col(entity) == F.col("_of")) & same(day, "_on")
+    if co_located:
+        undated = facts.where(F.col(day).isNull()).join(totals, F.col(entity) == F.col("_all"), "left").drop("_all")
+        none = {c: F.lit(None).cast(daily.schema[c].dataType) for c in (cols.day_weight, cols.day_cost)}
+        joined = (facts.where(F.col(day).isNotNull()).join(daily, met, "left").drop("_of", "_on")
+                  .unionByName(undated.withColumns(none)))
+    else:
+        joined = facts.join(daily, met, "left").drop("_of", "_on")
 
     w = F.col(weight)
     share = F.when(F.col(cols.day_weight) > 0, w / F.col(cols.day_weight))

@@ -1,8 +1,7 @@
 """Registry of every published relation and report: key -> (spark, sf_dir) -> DataFrame.
 
 Every query reads the whole test tables of the given folder (through the
-session's Workspace for that folder), so its work grows with them; only the
-declared orphan makers of the mapping leave rows out (sources.testdata).
+session's Workspace for that folder), so its work grows with them.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginflow.plans import analysis, business, contracts, operational
+from marginflow.plans import activity, analysis, business, contracts, operational, reconciliation, storage
 from marginflow.plans.context import Workspace
 from marginflow.session import apply_runtime_defaults
 from marginflow.sources.readers import interface_view
@@ -43,6 +42,23 @@ def _ws(fn: Callable[[Workspace], DataFrame]) -> QueryFn:
     return run
 
 
+# The operational models, each computed from the ones before.
+_STAGES = {
+    "unified_ad_metrics": operational.unified_ad_metrics,
+    "client_projects_with_time": operational.client_projects_with_time,
+    "campaign_profitability": operational.campaign_profitability,
+}
+
+
+def _staged(fn: Callable[[Workspace], DataFrame], *models: str) -> QueryFn:
+    """A query that uses operational models more than once: each is computed
+    once per call, written to the shared folder and scanned from there."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(workspace(spark, sf_dir).staged({m: _STAGES[m] for m in models}))
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def _il(name: str) -> QueryFn:
     return _ws(lambda ws: interface_view(ws.spark, name, ws.raw(name)))
 
@@ -75,6 +91,9 @@ QUERIES: dict[str, QueryFn] = {
     # interface layer (S1-S7, S10) and cleansed layer (M1-M7)
     **{f"il_{n}": _il(n) for n in sorted(RAW_SOURCES)},
     **{f"cl_{n}": _cl(n) for n in sorted(RAW_SOURCES)},
+    # storage (S8-S10): a source through CSV files with bad rows, published versions
+    "src_time_tracking_csv": _ws(storage.time_tracking_through_csv),
+    "src_pinned_monthly_spend": _ws(storage.pinned_monthly_spend),
     # operational layer (M8-M10) and the allocation building blocks
     "ol_unified_ad_metrics": _ws(operational.unified_ad_metrics),
     "ol_client_projects_with_time": _ws(operational.client_projects_with_time),
@@ -82,8 +101,8 @@ QUERIES: dict[str, QueryFn] = {
     "client_day_ad_spend": _ws(operational.client_day_ad_spend),
     "client_total_internal_cost": _ws(operational.client_total_internal_cost),
     "client_total_ad_spend": _ws(operational.client_total_ad_spend),
-    "internal_cost_allocation": _ws(operational.internal_cost_allocation),
-    "ol_campaign_profitability": _ws(operational.campaign_profitability),
+    "internal_cost_allocation": _staged(operational.internal_cost_allocation, "unified_ad_metrics", "client_projects_with_time"),
+    "ol_campaign_profitability": _staged(operational.campaign_profitability, "unified_ad_metrics", "client_projects_with_time"),
     # business layer (M11-M13) and their building blocks
     "client_paid_blended": _ws(business.client_paid_blended),
     "client_internal_totals": _ws(business.client_internal_totals),
@@ -93,14 +112,17 @@ QUERIES: dict[str, QueryFn] = {
     "client_internal_monthly": _ws(business.client_internal_monthly),
     "bl_monthly_campaign_cohorts": _ws(business.monthly_campaign_cohorts),
     "bl_resource_utilization": _ws(business.resource_utilization),
+    "client_activity_bitmap_rollup": _ws(activity.client_activity),
     # data-quality contracts (Q1-Q20)
-    "dq_summary": _ws(lambda ws: contracts.summary(ws)),
+    "dq_summary": _staged(lambda ws: contracts.summary(ws), "unified_ad_metrics", "client_projects_with_time", "campaign_profitability"),
     "dq_cleansing_keys": _ws(lambda ws: contracts.summary(
         ws, models=["cl_clients", "cl_campaigns", "cl_employees", "cl_projects"])),
-    "dq_unique_combination": _ws(lambda ws: contracts.summary(ws, kinds={"unique"})),
-    "dq_not_null": _ws(lambda ws: contracts.summary(ws, kinds={"not_null"})),
-    "dq_relationships": _ws(lambda ws: contracts.summary(ws, kinds={"relationship"})),
-    "dq_expression_range": _ws(lambda ws: contracts.summary(ws, kinds={"expression"})),
+    "dq_unique_combination": _staged(lambda ws: contracts.summary(ws, kinds={"unique"}), "unified_ad_metrics", "client_projects_with_time", "campaign_profitability"),
+    "dq_not_null": _staged(lambda ws: contracts.summary(ws, kinds={"not_null"}), "unified_ad_metrics", "client_projects_with_time", "campaign_profitability"),
+    "dq_relationships": _staged(lambda ws: contracts.summary(ws, kinds={"relationship"}), "unified_ad_metrics", "client_projects_with_time", "campaign_profitability"),
+    "dq_expression_range": _staged(lambda ws: contracts.summary(ws, kinds={"expression"}), "unified_ad_metrics", "client_projects_with_time", "campaign_profitability"),
+    "dq_violating_rows": _staged(contracts.violating_grain_keys, "unified_ad_metrics", "client_projects_with_time", "campaign_profitability"),
+    "dq_allocation_reconciliation": _staged(reconciliation.allocation_reconciliation, "unified_ad_metrics", "client_projects_with_time"),
     "dq_grain_dashboard": _ws(_dq_grain_of("bl_client_performance_dashboard")),
     "dq_grain_utilization": _ws(_dq_grain_of("bl_resource_utilization")),
     "dq_grain_monthly": _ws(_dq_grain_of("bl_monthly_campaign_cohorts")),

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from marginflow.operators.cleansing import CLEANSERS
 from marginflow.sources import testdata
 from marginflow.sources.readers import conform, read_raw
+from marginflow.sources.sinks import materialize
 
 
 class Workspace:
@@ -23,6 +24,8 @@ class Workspace:
         self._memo: dict[str, DataFrame] = {}
         self._seeded: dict[str, DataFrame] = {}
         self._state_of, self._state = state, state()
+        # the operational tables that are seeded are bucketed by (client_id, report_date)
+        self.co_located = False
 
     # -- construction -----------------------------------------------------
     @classmethod
@@ -40,6 +43,16 @@ class Workspace:
         """The same raw sources, nothing derived from them yet."""
         return Workspace(self.spark, self._raw_builders, self._state_of)
 
+    def staged(self, models: dict[str, Callable[["Workspace"], DataFrame]]) -> "Workspace":
+        """A workspace in which ``models`` (in this order, each from the ones
+        before) are computed once and read from files of the shared folder:
+        what uses one of them twice scans a table twice, not its inputs."""
+        out = self.fresh()
+        out._memo = {k: v for k, v in self._memo.items() if k.startswith(("raw:", "cl:"))}
+        for name, model in models.items():
+            out._seeded["model:" + name] = out._memo["model:" + name] = materialize(self.spark, model(out), name)
+        return out
+
     def stale(self) -> bool:
         """The raw files changed since this workspace was made."""
         return self._state_of() != self._state

@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marginflow.functions.numeric import r2
-from marginflow.operators.quality import Contract, Relationship, contract_summary
+from marginflow.operators.quality import (Contract, Relationship, contract_summary, tag_violations,
+                                          violating_keys)
 from marginflow.plans import business, operational
 from marginflow.plans.context import Workspace
 
@@ -34,6 +35,8 @@ class ContractSpec:
     violations: dict[str, Predicate] = field(default_factory=dict)
     # (column, parent model, parent column)
     relationships: list[tuple[str, str, str]] = field(default_factory=list)
+    # the same, but listed among the violating rows only (known orphans)
+    reported: list[tuple[str, str, str]] = field(default_factory=list)
 
 
 PROFIT_GRAIN = ["client_id", "campaign_id", "platform", "report_date", "attribution_window"]
@@ -79,7 +82,8 @@ CONTRACTS: list[ContractSpec] = [
                      "utilization_rate_billable_cost between 0 and 1":
                          "utilization_rate_billable_cost BETWEEN 0 AND 1",
                  },
-                 relationships=[("client_id", "cl_clients", "client_id")]),
+                 relationships=[("client_id", "cl_clients", "client_id")],
+                 reported=[("employee_id", "cl_employees", "employee_id"), ("project_id", "cl_projects", "project_id")]),
 ]
 CONTRACT_BY_MODEL = {c.model: c for c in CONTRACTS}
 
@@ -108,14 +112,15 @@ def to_contract(ws: Workspace, spec: ContractSpec, kinds: set[str] | None = None
                    if want("expression") else {})
     violations = ({n: column_of(s) for n, s in spec.violations.items()}
                   if want("singular") else {})
+    parents = (lambda found: [Relationship(c, model_frame(ws, pm), pc) for c, pm, pc in found])
     return Contract(
         model=spec.model,
         unique=spec.unique if want("unique") else [],
         not_null=spec.not_null if want("not_null") else [],
         expressions=expressions,
         violations=violations,
-        relationships=[Relationship(c, model_frame(ws, pm), pc)
-                       for c, pm, pc in spec.relationships] if want("relationship") else [])
+        relationships=parents(spec.relationships) if want("relationship") else [],
+        reported=parents(spec.reported) if want("relationship") else [])
 
 
 def summary(ws: Workspace, models: list[str] | None = None, kinds: set[str] | None = None) -> DataFrame:
@@ -133,6 +138,22 @@ def summary(ws: Workspace, models: list[str] | None = None, kinds: set[str] | No
     return out
 
 
+def violating_grain_keys(ws: Workspace, models: list[str] | None = None) -> DataFrame:
+    """(model, check_name, key, violations) of every failing check and grain
+    key of the selected models, reported orphans included; one pass per model."""
+    out = None
+    for spec in CONTRACTS:
+        if models is None or spec.model in models:
+            part = violating_keys(model_frame(ws, spec.model), to_contract(ws, spec), reported=True)
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+def tagged_rows(ws: Workspace, model: str) -> DataFrame:
+    """The model's whole rows that fail a row-level check, with failed_checks."""
+    return tag_violations(model_frame(ws, model), to_contract(ws, CONTRACT_BY_MODEL[model]), reported=True)
+
+
 def violating_rows(ws: Workspace, model: str, name: str) -> DataFrame:
     spec = CONTRACT_BY_MODEL[model]
     return model_frame(ws, model).where(column_of(spec.violations[name]))

@@ -95,7 +95,7 @@ def _allocated(ws: Workspace) -> DataFrame:
     def build():
         return allocate_two_tier(campaign_performance(ws), client_day_ad_spend(ws),
                                  client_day_internal_cost(ws), entity="client_id",
-                                 day="report_date", weight="ad_spend_eur")
+                                 day="report_date", weight="ad_spend_eur", co_located=ws.co_located)
     return ws.model("allocated", build)
 
 

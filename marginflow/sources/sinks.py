@@ -6,6 +6,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marginflow.session import ensure_checkpoint_dir
 
@@ -26,6 +27,32 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     writer.parquet(path)
 
 
+def write_csv(df: DataFrame, path: str) -> None:
+    """CSV files with header, RFC-4180 quoting and UTF-8; NULL is an empty cell."""
+    (df.write.option("header", True).option("quote", '"').option("escape", '"').option("encoding", "UTF-8")
+     .option("emptyValue", "").option("nullValue", "").csv(path))
+
+
+def in_order(df: DataFrame, order: list[str]) -> DataFrame:
+    """``df`` dealt out so that its written files, in name order, hold the rows
+    in the order of ``order`` (ascending, NULLS LAST).
+
+    Rows are dealt out by ranges of the order and sorted within the task, so
+    nothing is sorted in one place; file statistics of the first column don't
+    overlap beyond a shared border, and a filter on it skips files.
+    """
+    by = [F.asc_nulls_last(c) for c in order]
+    return df.repartitionByRange(*by).sortWithinPartitions(*by)
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, keys: list[str], buckets: int) -> None:
+    """Materialise a relation at ``path`` as the catalogue table ``table``, in
+    ``buckets`` buckets of ``keys``, each sorted by them.  Joins and groupings by
+    the keys read it without an exchange.  ``df`` should come dealt out by
+    ``repartition(buckets, *keys)``: a bucket is then one file."""
+    (df.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).format("parquet").saveAsTable(table))
+
+
 def new_version(out_dir: str) -> str:
     """Folder of a build that is not published yet."""
     return f"{out_dir.rstrip('/')}/versions/{uuid.uuid4().hex}"
@@ -72,4 +99,4 @@ def materialize(spark: SparkSession, df: DataFrame, name: str, root: str | None
     base = (root or ensure_checkpoint_dir(spark)).rstrip("/")
     path = f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
     write_table(df, path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

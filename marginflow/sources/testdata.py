@@ -4,9 +4,9 @@ The mapping (FIXTURES.md section 3) turns orders into campaigns, customers
 into clients, suppliers into employees, parts into projects, lineitems into
 daily ad metrics and time entries, and events into social page metrics,
 with deliberate dirt (padding, emoji, junk tags, orphan ids, NULL keys).
-Every derivation is a DataFrame plan; nothing passes through the driver.  The
-tables are read whole, except for two declared orphan makers (suppliers that
-are no employees, orders that are no time entries).
+Every derivation is a DataFrame plan; nothing passes through the driver.  Every
+row of the tables is kept: orphans are made by moving foreign keys (time
+entries whose employee id no master has, or that a neighbour client gets).
 """
 
 from __future__ import annotations
@@ -43,6 +43,11 @@ PROJECT_START = _dt.date(1995, 1, 1)
 PROJECT_END = _dt.date(2001, 12, 31)
 BACKDATED_FIRST = _dt.date(1994, 6, 1)   # time rows of clients with custkey % 10 = 1
 BACKDATED_OTHER = _dt.date(1994, 7, 1)
+# time entries of suppliers with key % 25 = 7: employee ids outside the master
+ORPHAN_EMPLOYEE_OFFSET = 10_000_000_000
+# time entries of clients with key % 10 = 0 belong to the client two keys on,
+# which leaves clients without internal cost
+COST_FREE_OFFSET = 2
 # -----------------------------------------------------------------------------
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
@@ -147,8 +152,7 @@ def raw_employees(t: TestTables) -> DataFrame:
     s = t.table("supplier").select("s_suppkey", "s_name", "s_nationkey")
     n = t.table("nation").select("n_nationkey", "n_name")
     key = F.col("s_suppkey")
-    return (s.where(key % 25 != 7)  # orphan maker: time entries without a master record
-            .join(F.broadcast(n), s.s_nationkey == n.n_nationkey, "inner")
+    return (s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey, "inner")
             .select(
                 key.alias("employee_id"),
                 F.concat(F.col("s_name"), F.lit(" ")).alias("employee_name"),
@@ -174,11 +178,12 @@ def raw_projects(t: TestTables) -> DataFrame:
                 F.floor("p_retailprice").cast("double").alias("monthly_budget_eur")))
 
 
-def _line_order_customer(t: TestTables, line_cols, order_filter=None) -> DataFrame:
+def _line_order_customer(t: TestTables, line_cols, owner: Column | None = None) -> DataFrame:
+    """Lines with their order's customer (or the customer ``owner``)."""
     li = t.table("lineitem").select(*line_cols)
     o = t.table("orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    if order_filter is not None:
-        o = o.where(order_filter)
+    if owner is not None:
+        o = o.withColumn("o_custkey", owner)
     c = t.table("customer").select("c_custkey", "c_name")
     lo = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     return lo.join(c, lo.o_custkey == c.c_custkey, "inner")
@@ -213,7 +218,7 @@ def raw_time_tracking(t: TestTables) -> DataFrame:
     base = _line_order_customer(
         t, ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
             "l_linestatus", "l_shipdate"],
-        order_filter=F.col("o_custkey") % 10 != 0)  # orphan maker: clients without internal cost
+        owner=F.when(F.col("o_custkey") % 10 == 0, F.col("o_custkey") + COST_FREE_OFFSET).otherwise(F.col("o_custkey")))
     supp = F.col("l_suppkey")
     part = F.col("l_partkey")
     hours = F.col("l_quantity") / 8
@@ -222,7 +227,7 @@ def raw_time_tracking(t: TestTables) -> DataFrame:
                            .otherwise(F.lit(BACKDATED_OTHER)))
                    .otherwise(F.col("l_shipdate").cast("date")))
     return base.select(
-        supp.alias("employee_id"),
+        F.when(supp % 25 == 7, supp + ORPHAN_EMPLOYEE_OFFSET).otherwise(supp).alias("employee_id"),
         F.col("o_custkey").alias("client_id"),
         F.when(part % 5 == 0, F.lit(None).cast("double")).otherwise(part.cast("double")).alias("project_id"),
         F.concat(F.lit("Supplier "), supp.cast("string")).alias("employee_name"),

@@ -48,11 +48,14 @@ def test_fixture_anchors_sf001(spark):
     """Row counts stated for the sf0.01 fixture mapping."""
     q = lambda n: QUERIES[n](spark, SF_CHECK)
     assert q("ol_unified_ad_metrics").count() == 59981
-    assert q("ol_client_projects_with_time").count() == 53049
+    assert q("ol_client_projects_with_time").count() == 58964
     assert q("bl_client_performance_dashboard").count() == 14635
     assert q("bl_monthly_campaign_cohorts").count() == 58210
-    assert q("bl_resource_utilization").count() == 53619
+    assert q("bl_resource_utilization").count() == 59388
     assert q("client_social_pivot").count() == 1320  # grows with the tables
+    # every row of the tables is used
+    assert q("il_employees").count() == 100 and q("il_time_tracking").count() == 60000
+    assert sum(r.violations for r in q("dq_violating_rows").collect()) == 2351  # orphan employees
     branches = {r[0]: r[1] for r in q("internal_cost_allocation").groupBy("allocation_branch").count().collect()}
     assert branches["daily"] == 44975
     assert branches["lifetime"] == 6105
@@ -87,10 +90,10 @@ def test_fixture_anchors_sf0001(spark):
     """Row counts stated for the sf0.001 fixture mapping."""
     q = lambda n: QUERIES[n](spark, SF_SMALL)
     assert q("ol_unified_ad_metrics").count() == 5998
-    assert q("ol_client_projects_with_time").count() == 5226
+    assert q("ol_client_projects_with_time").count() == 5884
     assert q("bl_client_performance_dashboard").count() == 1461
     assert q("bl_monthly_campaign_cohorts").count() == 5817
-    assert q("bl_resource_utilization").count() == 4946
+    assert q("bl_resource_utilization").count() == 5508
     branches = {r[0]: r[1] for r in q("internal_cost_allocation").groupBy("allocation_branch").count().collect()}
     assert (branches["daily"], branches["lifetime"], branches["no_cost"],
             branches["cost_day_without_spend"]) == (4555, 505, 658, 280)
