@@ -15,10 +15,9 @@ so that each is counted once.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,8 +29,11 @@ TABLES = 6
 BLOCKS = 2
 SCALE = 3.0
 SEED = 20240601
-# Vectors that meet in one task: at most two blocks of this many.
+# Vectors that meet in one comparison: at most two blocks of this many.
 GROUP = 512
+# Groups up to this size are compared many at a time and write all their links;
+# larger ones write a spanning forest.
+SMALL = 8
 
 
 def decode_e8(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -76,8 +78,8 @@ def cells(unit: np.ndarray, tables: int = TABLES, blocks: int = BLOCKS, scale: f
     return np.stack(out, axis=1)
 
 
-def _matrix(column: pd.Series) -> np.ndarray:
-    x = np.stack([np.frombuffer(v, np.float64) for v in column])
+def _matrix(values: Iterable[bytes]) -> np.ndarray:
+    x = np.stack([np.frombuffer(v, np.float64) for v in values])
     # by the largest component first: no overflow, and underflow only where it is lost anyway
     x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
@@ -131,14 +133,11 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD, vec
     # written: a join straight to an aggregate could not split a hot cell
     crowded = written(entered.groupBy("cell").agg(F.count("*").alias("m")).filter("m > 1"), "crowded-cells")
 
-    def links(pdf: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple[int, int]] = []
-        for _, part in pdf.groupby(pdf["v"].map(len)):
-            out += _forest(part, threshold)
-        return pd.DataFrame(out, columns=["a", "b"])
+    def links(part: Groups) -> pa.RecordBatch:
+        a, b = part.links(threshold)
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    edges = (_blocks(entered.join(crowded, "cell"), "cell").groupBy("cell", "i", "j")
-             .applyInPandas(links, "a long, b long"))
+    edges = _streamed(_blocks(entered.join(crowded, "cell"), "cell"), ["cell", "i", "j"], ["rep"], links, "a long, b long")
     parts = connected_components(edges)
     weight = classes.select("label", "v", "rep", "n")
     if parts is None:
@@ -147,16 +146,13 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD, vec
         inside = written(weight.join(parts.withColumnRenamed("id", "rep"), "rep"), "linked-vectors")
         m = written(inside.groupBy("component", "label").agg(F.count("*").alias("m")), "component-sizes")
 
-        def count(pdf: pd.DataFrame) -> pd.DataFrame:
-            out = []
-            for _, part in pdf.groupby(pdf["v"].map(len)):
-                hit = _cosine_hits(part, threshold)
-                n = part["n"].to_numpy(np.int64)
-                out.append(pd.DataFrame({"rep": part["rep"], "label": part["label"], "v": part["v"], "far": hit @ n}))
-            return pd.concat(out)
-
-        far = (_blocks(inside.join(m, ["component", "label"]), "component").groupBy("component", "label", "i", "j")
-               .applyInPandas(count, "rep long, label string, v binary, far long")
+        def count(part: Groups) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([part.table.column("rep"), part.table.column("label"), part.table.column("v"),
+                                               pa.array(part.weighed_hits(threshold), pa.int64())],
+                                              names=["rep", "label", "v", "far"])
+
+        far = (_streamed(_blocks(inside.join(m, ["component", "label"]).withColumn("size", F.length("v")), "component"),
+                         ["component", "label", "size", "i", "j"], ["rep", "n"], count, "rep long, label string, v binary, far long")
                .groupBy("rep", "label", "v").agg(F.sum("far").alias("far")))
         linked = (weight.join(parts.withColumnRenamed("id", "rep"), "rep", "left")
                   .join(far, ["rep", "label", "v"], "left")
@@ -178,20 +174,106 @@ def _blocks(members: DataFrame, group: str) -> DataFrame:
             .drop("other", "blocks", "m"))
 
 
-def _cosine_hits(part: pd.DataFrame, threshold: float) -> np.ndarray:
-    """Links between the rows of a pair of blocks (inside the block if i = j)."""
-    unit = _matrix(part["v"])
-    hit = unit @ unit.T >= threshold
-    np.fill_diagonal(hit, False)
-    if part["i"].iloc[0] != part["j"].iloc[0]:
-        block = part["mine"].to_numpy()
-        hit &= block[:, None] != block[None, :]
-    return hit
+def _streamed(blocks: DataFrame, keys: list[str], columns: list[str], work: Callable[[Groups], pa.RecordBatch],
+              schema: str) -> DataFrame:
+    """Rows dealt out and sorted by ``keys``; ``work`` gets whole groups, as many
+    at a time as a batch holds.  A task keeps one batch and one group."""
+    dealt = (blocks.select(*keys, "mine", "v", *columns).repartition(*keys).sortWithinPartitions(*keys))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for b in batches:
+            if not b.num_rows:
+                continue
+            held.append(b)
+            last, first = held[0].slice(held[0].num_rows - 1), b.slice(b.num_rows - 1)
+            if len(held) > 1 and _same(last, first, keys):
+                continue  # all one group so far
+            table = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            starts = _starts(table, keys)
+            if len(starts) > 1:
+                yield work(Groups(table.slice(0, starts[-1]), starts[:-1]))
+            held = [table.slice(starts[-1])]
+        if held:
+            table = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            yield work(Groups(table, _starts(table, keys)))
+
+    return map_batches(dealt, run, schema)
+
+
+def _same(a: pa.RecordBatch, b: pa.RecordBatch, keys: list[str]) -> bool:
+    return all(a.column(k)[0] == b.column(k)[0] for k in keys)
+
+
+def _starts(table: pa.RecordBatch, keys: list[str]) -> np.ndarray:
+    """First row of every run of equal keys."""
+    new = np.zeros(table.num_rows, bool)
+    new[0] = True
+    for k in keys:
+        column = table.column(k)
+        codes = column.dictionary_encode().indices.to_numpy() if pa.types.is_string(column.type) else column.to_numpy()
+        new[1:] |= codes[1:] != codes[:-1]
+    return np.flatnonzero(new)
+
+
+class Groups:
+    """Consecutive groups of rows; vectors of one group have one length."""
+
+    def __init__(self, table: pa.RecordBatch, starts: np.ndarray):
+        self.table, self.starts = table, starts
+        self.sizes = np.diff(np.append(starts, table.num_rows))
+        self.data = table.column("v").to_pylist()
+        # a group of two blocks compares across them only
+        self.across = (table.column("i").to_numpy() != table.column("j").to_numpy())[starts]
+        self.mine = table.column("mine").to_numpy()
+
+    def hits(self, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(rows, links) of all groups of one size and length together:
+        rows groups x size, links groups x size x size."""
+        length = np.array([len(self.data[s]) for s in self.starts])
+        for m, d in sorted(set(zip(self.sizes.tolist(), length.tolist()))):
+            chosen = np.flatnonzero((self.sizes == m) & (length == d))
+            if m < 2:
+                continue
+            step = max(1, (1 << 22) // (m * m + m * d // 8))
+            for at in range(0, len(chosen), step):
+                groups = chosen[at:at + step]
+                rows = self.starts[groups][:, None] + np.arange(m)
+                unit = _matrix([self.data[r] for r in rows.ravel()]).reshape(len(groups), m, -1)
+                hit = unit @ unit.transpose(0, 2, 1) >= threshold
+                hit[:, np.arange(m), np.arange(m)] = False
+                block = self.mine[rows]
+                hit &= ~self.across[groups][:, None, None] | (block[:, :, None] != block[:, None, :])
+                yield rows, hit
+
+    def links(self, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+        ids = self.table.column("rep").to_numpy()
+        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for rows, hit in self.hits(threshold):
+            if rows.shape[1] <= SMALL:
+                g, x, y = np.nonzero(np.triu(hit))
+                a.append(ids[rows[g, x]])
+                b.append(ids[rows[g, y]])
+                continue
+            for own, links in zip(rows, hit):
+                if links.any():
+                    found = np.array(_forest(links, ids[own]), np.int64).reshape(-1, 2)
+                    a.append(found[:, 0])
+                    b.append(found[:, 1])
+        return np.concatenate(a), np.concatenate(b)
+
+    def weighed_hits(self, threshold: float) -> np.ndarray:
+        """Per row, the weights ``n`` of the rows that it is linked with."""
+        n = self.table.column("n").to_numpy()
+        out = np.zeros(self.table.num_rows, np.int64)
+        for rows, hit in self.hits(threshold):
+            out[rows] = (hit @ n[rows][:, :, None])[:, :, 0]
+        return out
 
 
-def _forest(part: pd.DataFrame, threshold: float) -> list[tuple[int, int]]:
+def _forest(hit: np.ndarray, own: np.ndarray) -> list[tuple[int, int]]:
     """Spanning forest of the links, breadth first."""
-    hit, ids = _cosine_hits(part, threshold), part["rep"].tolist()
+    ids = own.tolist()
     seen = np.zeros(len(ids), bool)
     out = []
     for start in range(len(ids)):
