@@ -1,7 +1,7 @@
 """Near-duplicate documents by fast similarity sketching.
 
 A document is its set of distinct five-word shingles.  Documents with equal
-sets collapse to one representative.  Each set gets a sketch of T
+word sequences (by SHA-256) collapse to one representative.  Each set gets a sketch of T
 coordinates: in round i every shingle is thrown into one hashed bin with a
 value in [i, i + 1), and a bin keeps its smallest value.  One round fills
 nearly every bin of a large set; small sets take more rounds, and the last T
@@ -23,6 +23,7 @@ pairs, and no link inside a bucket is lost to the connected components.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,8 +40,10 @@ WORDS = 5
 # probability 1 - (1 - 0.8^5)^28 = 0.99998, one of 0.3 with 0.07.
 BANDS = 28
 ROWS = 5
-# Documents of one bucket that meet in one task: at most two blocks.
+# Documents of one bucket, and shingle hashes (8 bytes each), that meet in one
+# task: at most two blocks.
 BLOCK = 192
+BLOCK_SHINGLES = 1 << 20
 # Distinct words whose hashes a worker remembers, from stage to stage.
 _CACHE_WORDS = 1 << 18
 
@@ -140,7 +143,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id",
             sets = [shingle_hashes(t, words) for t in b.column(1).to_pylist()]
             keys = band_keys(sketch(sets, bands * rows), bands, rows)
             n = np.array([len(s) for s in sets], np.int64)
-            digest = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
+            # equal normalised word sequences have equal sets, without trusting a 64-bit hash
+            digest = [hashlib.sha256(b" ".join((t or "").encode().lower().split())).digest() if len(s) else None
+                      for t, s in zip(b.column(1).to_pylist(), sets)]
             offsets = pa.array(np.arange(len(sets) + 1, dtype=np.int32) * bands)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n), pa.array(digest, pa.binary()),
@@ -209,46 +214,105 @@ def _confirmed(source: DataFrame, buckets: DataFrame, percent: int, words: int)
     apart = (open_.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
                                       F.count("*").alias("m"), F.sum(F.xxhash64("doc_id").cast("decimal(20,0)")).alias("f"))
              .filter("lo < hi"))
-    once = apart.groupBy("m", "f").agg(F.min("key").alias("key")).select("key", "m")  # same members: once
+    once = written(apart.groupBy("m", "f").agg(F.min("key").alias("key")).select("key"), "open-buckets")  # same members: once
     return star.unionByName(_blocked(open_.select("key", "doc_id", "component").join(once, "key"), texts, percent, words))
 
 
 def _blocked(members: DataFrame, texts: DataFrame, percent: int, words: int) -> DataFrame:
-    """Links between members of a bucket: every pair of blocks is one group."""
-    n = F.ceil(F.col("m") / BLOCK).cast("int")
+    """Links between members of a bucket: every pair of blocks is one group.
+
+    A group holds the sorted shingle hashes of its members, not their texts,
+    and a block is cut by BLOCK members and BLOCK_SHINGLES hashes (expected),
+    so it is bounded by bytes.  Its forest is found on the hashes; the links of
+    the forest are then confirmed on the full sets of words.
+    """
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [shingle_hashes(t, words) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), pa.array([len(f) for f in found], pa.int64()), pa.array([f.tobytes() for f in found], pa.binary())],
+                names=["doc_id", "n", "hashes"])
+
+    open_texts = texts.join(members.select("doc_id").distinct(), "doc_id", "left_semi")
+    sets = written(map_batches(open_texts, hashes, "doc_id long, n long, hashes binary"), "shingle-hashes")
+    sized = written(members.join(sets.select("doc_id", "n"), "doc_id"), "open-members")
+    # sized by rows, too: a repeated id brings several texts
+    blocks = written(sized.groupBy("key").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")), "open-sizes")
     mine = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.col("blocks")).cast("int")
-    placed = (members.withColumn("blocks", n).withColumn("mine", mine)
+    placed = (members.join(blocks, "key").withColumn("mine", mine)
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
               .select("key", "doc_id", "component", F.least("mine", "other").alias("i"),
                       F.greatest("mine", "other").alias("j"), "mine"))
-    schema = "a long, b long"
 
     def links(pdf: pd.DataFrame) -> pd.DataFrame:
-        sets = [shingle_set(t, words) for t in pdf["text"]]
-        ids, part, block = pdf["doc_id"].tolist(), pdf["component"].tolist(), pdf["mine"].tolist()
-        between = pdf["i"].iloc[0] != pdf["j"].iloc[0]
-        holders: dict = {}
-        out: list[tuple[int, int]] = []
-        root = {c: c for c in part}
-
-        def find(c):
-            while root[c] != c:
-                root[c] = root[root[c]]
-                c = root[c]
-            return c
-
-        for x, s in enumerate(sets):
-            both: dict[int, int] = {}
-            for g in s:
-                for y in holders.get(g, ()):
-                    both[y] = both.get(y, 0) + 1
-            for y, k in both.items():
-                if (100 * k >= percent * (len(s) + len(sets[y]) - k) and not (between and block[x] == block[y])
-                        and find(part[x]) != find(part[y])):
-                    root[find(part[x])] = find(part[y])
-                    out.append((ids[x], ids[y]))
-            for g in s:
-                holders.setdefault(g, []).append(x)
-        return pd.DataFrame(out, columns=["a", "b"])
-
-    return placed.join(texts, "doc_id").groupBy("key", "i", "j").applyInPandas(links, schema)
+        held = [np.frombuffer(h, np.uint64) for h in pdf["hashes"]]
+        found = forest(held, pdf["component"].tolist(), pdf["mine"].tolist(), bool(pdf["i"].iloc[0] != pdf["j"].iloc[0]), percent)
+        ids = pdf["doc_id"].tolist()
+        return pd.DataFrame([(ids[x], ids[y]) for x, y in found], columns=["a", "b"]).astype("int64")
+
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok = [similar(shingle_set(t, words), shingle_set(u, words), percent)
+                  for t, u in zip(b.column("text").to_pylist(), b.column("other").to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column("a").filter(pa.array(ok)), b.column("b").filter(pa.array(ok))], names=["a", "b"])
+
+    found = written(placed.join(sets, "doc_id").groupBy("key", "i", "j").applyInPandas(links, "a long, b long").distinct(), "block-links")
+    pairs = (found.join(texts.select(F.col("doc_id").alias("a"), "text"), "a")
+             .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("other")), "b"))
+    return map_batches(pairs.select("a", "b", "text", "other"), confirm, "a long, b long")
+
+
+def forest(sets: list[np.ndarray], part: list[int], block: list[int], between: bool, percent: int) -> list[tuple[int, int]]:
+    """Links that connect whatever the links between sorted hash sets connect,
+    beyond the components ``part`` that are known.  With ``between``, sets of
+    one block are not compared.
+
+    A set meets the known components in turn, and of each only as many members
+    as it takes to find a link.  Before two sets are intersected, the prefix
+    filter is: similar sets share a hash among the smallest (100 - percent) %
+    of either.
+    """
+    members: dict[int, list[int]] = {}
+    root = {c: c for c in part}
+    out: list[tuple[int, int]] = []
+    prefix = [s[:len(s) - -(-percent * len(s) // 100) + 1] for s in sets]
+
+    def find(c: int) -> int:
+        while root[c] != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    for x, s in enumerate(sets):
+        own = find(part[x])
+        for c in list(members):
+            if c == own or find(c) != c:
+                continue
+            for y in members[c]:
+                if between and block[x] == block[y] or not _alike(s, sets[y], prefix[x], prefix[y], percent):
+                    continue
+                out.append((x, y))
+                kept = find(own)
+                root[c] = kept
+                members.setdefault(kept, []).extend(members.pop(c))
+                own = kept
+                break
+        members.setdefault(find(own), []).append(x)
+    return out
+
+
+def _alike(a: np.ndarray, b: np.ndarray, a_prefix: np.ndarray, b_prefix: np.ndarray, percent: int) -> bool:
+    small, large = sorted((len(a), len(b)))
+    if not small or 100 * small < percent * large:
+        return False
+    if not _shared(a_prefix, b_prefix):
+        return False
+    both = _shared(a, b)
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
+def _shared(a: np.ndarray, b: np.ndarray) -> int:
+    """Common values of two sorted arrays without repeats."""
+    at = np.searchsorted(b, a)
+    return int((b[np.minimum(at, len(b) - 1)] == a).sum())
