@@ -85,4 +85,6 @@ def float_key_string(c) -> Column:
     """
     text = F.trim(_col(c).cast("string"))
     number = F.bround(text.try_cast("decimal(38,10)"), 0).cast("decimal(38,0)").cast("string")
-    return F.when(text.rlike(r"^[+-]?\d+$"), text).otherwise(F.coalesce(number, text))
+    # '102.0' by far most often: no decimal for it
+    plain = F.when(text.rlike(r"^[1-9]\d{0,17}\.0$"), F.substring_index(text, ".", 1))
+    return plain.when(text.rlike(r"^[+-]?\d+$"), text).otherwise(F.coalesce(number, text))

@@ -9,8 +9,7 @@ from marginflow.functions.numeric import r2, r4, ratio
 from marginflow.operators.aggregates import max_if, month_start, sum_if
 from marginflow.operators.joins import spread_nulls
 from marginflow.plans.context import Workspace
-from marginflow.plans.operational import (campaign_profitability, client_lookup,
-                                          client_projects_with_time)
+from marginflow.plans.operational import client_lookup, client_projects_with_time, media_profitability
 
 # --- fixed values ---------------------------------------------------------------
 SOCIAL_CHANNELS = ("Facebook", "Instagram")
@@ -30,7 +29,7 @@ PAID_KEYS = ["client_id", "client_name", "primary_industry", "platform", "attrib
 def client_paid_blended(ws: Workspace) -> DataFrame:
     """Paid performance per client x platform x window, KPIs from raw sums."""
     def build():
-        p = campaign_profitability(ws)
+        p = media_profitability(ws)
         g = p.groupBy(*PAID_KEYS).agg(
             F.countDistinct("campaign_id").alias("num_campaigns"),
             F.min("report_date").alias("first_activity_date"),
@@ -167,7 +166,7 @@ MONTHLY_ORDER = ["cohort_month", "client_id", "platform", "attribution_window"]
 
 def campaign_monthly(ws: Workspace) -> DataFrame:
     def build():
-        p = campaign_profitability(ws).withColumn("cohort_month", month_start("report_date"))
+        p = media_profitability(ws).withColumn("cohort_month", month_start("report_date"))
         return p.groupBy(*MONTHLY_KEYS).agg(
             F.countDistinct("campaign_id").alias("num_campaigns"),
             F.min("report_date").alias("first_activity_date_in_month"),

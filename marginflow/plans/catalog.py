@@ -48,6 +48,8 @@ _STAGES = {
     "client_projects_with_time": operational.client_projects_with_time,
     "campaign_profitability": operational.campaign_profitability,
 }
+_FACTS = ("unified_ad_metrics", "client_projects_with_time")
+_ALL = tuple(_STAGES)
 
 
 def _staged(fn: Callable[[Workspace], DataFrame], *models: str) -> QueryFn:
@@ -101,8 +103,8 @@ QUERIES: dict[str, QueryFn] = {
     "client_day_ad_spend": _ws(operational.client_day_ad_spend),
     "client_total_internal_cost": _ws(operational.client_total_internal_cost),
     "client_total_ad_spend": _ws(operational.client_total_ad_spend),
-    "internal_cost_allocation": _staged(operational.internal_cost_allocation, "unified_ad_metrics", "client_projects_with_time"),
-    "ol_campaign_profitability": _staged(operational.campaign_profitability, "unified_ad_metrics", "client_projects_with_time"),
+    "internal_cost_allocation": _staged(operational.internal_cost_allocation, *_FACTS),
+    "ol_campaign_profitability": _staged(operational.campaign_profitability, *_FACTS),
     # business layer (M11-M13) and their building blocks
     "client_paid_blended": _ws(business.client_paid_blended),
     "client_internal_totals": _ws(business.client_internal_totals),
@@ -114,20 +116,20 @@ QUERIES: dict[str, QueryFn] = {
     "bl_resource_utilization": _ws(business.resource_utilization),
     "client_activity_bitmap_rollup": _ws(activity.client_activity),
     # data-quality contracts (Q1-Q20)
-    "dq_summary": _staged(lambda ws: contracts.summary(ws), "unified_ad_metrics", "client_projects_with_time", "campaign_profitability"),
+    "dq_summary": _staged(lambda ws: contracts.summary(ws), *_ALL),
     "dq_cleansing_keys": _ws(lambda ws: contracts.summary(
         ws, models=["cl_clients", "cl_campaigns", "cl_employees", "cl_projects"])),
-    "dq_unique_combination": _staged(lambda ws: contracts.summary(ws, kinds={"unique"}), "unified_ad_metrics", "client_projects_with_time", "campaign_profitability"),
-    "dq_not_null": _staged(lambda ws: contracts.summary(ws, kinds={"not_null"}), "unified_ad_metrics", "client_projects_with_time", "campaign_profitability"),
-    "dq_relationships": _staged(lambda ws: contracts.summary(ws, kinds={"relationship"}), "unified_ad_metrics", "client_projects_with_time", "campaign_profitability"),
-    "dq_expression_range": _staged(lambda ws: contracts.summary(ws, kinds={"expression"}), "unified_ad_metrics", "client_projects_with_time", "campaign_profitability"),
-    "dq_violating_rows": _staged(contracts.violating_grain_keys, "unified_ad_metrics", "client_projects_with_time", "campaign_profitability"),
-    "dq_allocation_reconciliation": _staged(reconciliation.allocation_reconciliation, "unified_ad_metrics", "client_projects_with_time"),
+    "dq_unique_combination": _staged(lambda ws: contracts.summary(ws, kinds={"unique"}), *_ALL),
+    "dq_not_null": _staged(lambda ws: contracts.summary(ws, kinds={"not_null"}), *_ALL),
+    "dq_relationships": _staged(lambda ws: contracts.summary(ws, kinds={"relationship"}), *_ALL),
+    "dq_expression_range": _staged(lambda ws: contracts.summary(ws, kinds={"expression"}), *_ALL),
+    "dq_violating_rows": _staged(contracts.violating_grain_keys, *_ALL),
+    "dq_allocation_reconciliation": _staged(reconciliation.allocation_reconciliation, *_FACTS),
     "dq_grain_dashboard": _ws(_dq_grain_of("bl_client_performance_dashboard")),
     "dq_grain_utilization": _ws(_dq_grain_of("bl_resource_utilization")),
     "dq_grain_monthly": _ws(_dq_grain_of("bl_monthly_campaign_cohorts")),
-    "dq_profit_consistency": _ws(lambda ws: contracts.violating_rows(
-        ws, "ol_campaign_profitability", "profit_consistency")),
+    "dq_profit_consistency": _staged(lambda ws: contracts.violating_rows(
+        ws, "ol_campaign_profitability", "profit_consistency"), *_FACTS),
     "dq_monthly_negative": _ws(lambda ws: contracts.violating_rows(
         ws, "bl_monthly_campaign_cohorts", "no_negative_spend_or_revenue")),
     "dq_orphan_employees": _ws(_orphan_employees),

@@ -72,6 +72,10 @@ class Workspace:
     def model(self, key: str, build: Callable[[], DataFrame]) -> DataFrame:
         return self._get("model:" + key, build)
 
+    def stored(self, key: str) -> bool:
+        """The relation was seeded (it is read from a table)."""
+        return key in self._seeded
+
     def seed(self, key: str, df: DataFrame) -> None:
         """Replace a relation (e.g. by its materialised table).  Whatever may
         have been derived from the old one is built anew."""

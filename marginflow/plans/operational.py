@@ -99,6 +99,28 @@ def _allocated(ws: Workspace) -> DataFrame:
     return ws.model("allocated", build)
 
 
+def _media_only(rows: DataFrame) -> DataFrame:
+    """Add cost, profit and margins without internal cost (rounded per row)."""
+    spend, revenue = F.col("ad_spend_eur"), F.col("revenue_eur")
+    profit, cost = F.col("media_only_profit_eur"), F.col("media_only_total_cost_eur")
+    return rows.withColumns({
+        "media_only_total_cost_eur": spend,
+        "media_only_profit_eur": F.when(revenue.isNotNull() & spend.isNotNull(), r2(revenue - spend)),
+    }).withColumns({
+        "media_only_margin_on_revenue": F.when((revenue > 0) & profit.isNotNull(), r2(profit / revenue)),
+        "media_only_margin_on_cost": F.when((cost > 0) & profit.isNotNull(), r2(profit / cost)),
+    })
+
+
+def media_profitability(ws: Workspace) -> DataFrame:
+    """Campaign-day rows with the media-only measures.  They need no internal
+    cost, so no allocation is planned for them: the stored profitability table
+    where there is one, else the unified metrics."""
+    if ws.stored("model:campaign_profitability"):
+        return campaign_profitability(ws)
+    return ws.model("media_profitability", lambda: _media_only(campaign_performance(ws)))
+
+
 def campaign_profitability(ws: Workspace) -> DataFrame:
     """Campaign-day profitability: full (with allocated internal cost) and media-only."""
     def build():
@@ -110,19 +132,13 @@ def campaign_profitability(ws: Workspace) -> DataFrame:
             ALLOC.day_share, ALLOC.allocated,
             F.when(internal.isNotNull(), spend + internal).alias("full_total_cost_eur"),
             F.when(revenue.isNotNull() & internal.isNotNull(),
-                   revenue - (spend + internal)).alias("full_profit_eur"),
-            spend.alias("media_only_total_cost_eur"),
-            F.when(revenue.isNotNull() & spend.isNotNull(), r2(revenue - spend)).alias("media_only_profit_eur"))
+                   revenue - (spend + internal)).alias("full_profit_eur"))
         full_profit, full_cost = F.col("full_profit_eur"), F.col("full_total_cost_eur")
-        media_profit, media_cost = F.col("media_only_profit_eur"), F.col("media_only_total_cost_eur")
-        return a.withColumns({
+        return _media_only(a).withColumns({
             "margin_on_revenue_full": F.when((revenue > 0) & full_profit.isNotNull(), full_profit / revenue),
             "margin_on_cost_full": F.when((full_cost > 0) & full_profit.isNotNull(), full_profit / full_cost),
-            "media_only_margin_on_revenue": F.when((revenue > 0) & media_profit.isNotNull(),
-                                                   r2(media_profit / revenue)),
-            "media_only_margin_on_cost": F.when((media_cost > 0) & media_profit.isNotNull(),
-                                                r2(media_profit / media_cost)),
-        })
+        }).select(*a.columns, "media_only_total_cost_eur", "media_only_profit_eur", "margin_on_revenue_full",
+                  "margin_on_cost_full", "media_only_margin_on_revenue", "media_only_margin_on_cost")
     return ws.model("campaign_profitability", build)
 
 

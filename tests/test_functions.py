@@ -58,6 +58,13 @@ def test_float_key_string(spark):
     assert got == ["102", None, "2", "4", "3", "70000000000"]
 
 
+def test_float_keys_as_text(spark):
+    keys = ["102.0", "007.0", "-5.0", "0.0", " 9.0 ", "1234567890123456789.0", "123456789012345678.0", "5.00", "C-1.0", "1e3", "2.5"]
+    rows = spark.createDataFrame(list(enumerate(keys)), "i int, x string").select("i", float_key_string("x").alias("k")).orderBy("i")
+    assert [r.k for r in rows.collect()] == ["102", "7", "-5", "0", "9", "1234567890123456789", "123456789012345678", "5",
+                                             "C-1.0", "1000", "2"]
+
+
 @pytest.mark.parametrize("label,expected", [
     (T.INDUSTRY_BY_SEGMENT["HOUSEHOLD"], "Home & Living"),
     (T.INDUSTRY_BY_SEGMENT["MACHINERY"], "Finance, Insurance & Institutions"),
