@@ -74,6 +74,12 @@ def is_held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def slice_of(text: Column, most: int) -> Column:
+    """The text, or ``most`` code points of it from a place that its hash picks."""
+    spare = F.greatest(F.lit(1), F.length(text) - F.lit(most - 1))
+    return F.substring(text, (F.pmod(F.xxhash64(text, F.lit(17)), spare) + 1).cast("int"), F.lit(most))
+
+
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
                 schema: str) -> DataFrame:
     return df.mapInArrow(fn, schema)

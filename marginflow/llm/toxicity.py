@@ -24,11 +24,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marginflow.llm.common import map_batches, prepare
+from marginflow.llm.common import map_batches, prepare, slice_of
 
-# Fit: documents of each label (expected), longest training text in code points.
+# Fit: documents (expected) and code points of each label, and code points of
+# one document (a longer one is represented by a slice).
 SAMPLE_DOCS = 1_500
-SAMPLE_CHARS = 16_384
+SAMPLE_CHARS = 8_000_000
+SLICE_CHARS = 131_072
 # A feature marks tokens if it is in MIN_SUPPORT toxic documents and LIFT
 # times as frequent there as in clean ones.
 MIN_SUPPORT = 4
@@ -236,8 +238,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 
     The sample is drawn from ``labels`` before any text is joined:
     ``sample_docs`` rows of each label (expected; by a hash of the id, so reruns
-    agree), of which documents of at most SAMPLE_CHARS code points reach the
-    driver.
+    agree), whatever the length of their documents.  Their sizes come first; of
+    each label the texts with the smallest hashes are taken, each as at most
+    SLICE_CHARS code points, until SAMPLE_CHARS are reached (at least one).
     """
     rows = (labels.select(F.col(doc_id).cast("long").alias("id"), F.col(label).cast("int").alias("y"))
             .filter("y in (0, 1) and id is not null"))
@@ -250,7 +253,19 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         draw < min(span, math.ceil(sample_docs / n[0] * span)))
     drawn = F.broadcast(rows.filter(keep))  # about 2 * sample_docs ids
     found = (docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-             .join(drawn, "id").filter(F.length("t") <= SAMPLE_CHARS).select("t", "y").collect())
+             .join(drawn, "id").select("y", "t", F.xxhash64("t", F.lit(19)).alias("hash")))
+    sizes = found.select("y", "hash", F.least(F.length("t"), F.lit(SLICE_CHARS)).alias("chars")).distinct().collect()
+    last: dict[int, int] = {}  # the largest hash that is taken, per label
+    taken = dict.fromkeys((0, 1), 0)
+    for y, h, chars in sorted(map(tuple, sizes)):
+        if y not in last or taken[y] + chars <= SAMPLE_CHARS:
+            last[y], taken[y] = h, taken[y] + chars
+        else:
+            taken[y] = SAMPLE_CHARS + 1  # nothing beyond the first that does not fit
+    within = [(F.col("y") == y) & (F.col("hash") <= h) for y, h in last.items()]
+    if len(within) < 2:
+        return None
+    found = found.filter(within[0] | within[1]).select(slice_of(F.col("t"), SLICE_CHARS).alias("t"), "y").collect()
     sample = sorted({(xxhash.xxh64_intdigest(r["t"].encode(), 1), r["t"], r["y"]) for r in found})
     del found
     once: dict[bytes, bytes] = {}  # one object per distinct word
