@@ -20,10 +20,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marginflow.llm.common import map_batches, prepare
+from marginflow.llm.common import map_batches, prepare, slice_of
 
+# Bounds of the training sample: distinct texts and code points (expected), and
+# code points of one text (a longer one is represented by a slice).
 SAMPLE_DOCS = 6_000
-SAMPLE_CHARS = 16_384
+SAMPLE_CHARS = 24_000_000
+SLICE_CHARS = 131_072
 BITS = 14
 EM_STEPS = 100
 STEPS = 200
@@ -146,18 +149,15 @@ def _fit_scorer(texts: list[str], target: np.ndarray) -> dict:
     return {"words": w, "dense": d}
 
 
-def _drawn(texts: DataFrame, rate: int, span: int) -> DataFrame:
-    """Distinct texts whose hash is below the rate."""
-    return texts.filter(F.pmod(F.xxhash64("t", F.lit(13)), F.lit(span)) < rate).distinct()
-
-
 def fit(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS) -> dict | None:
     """Labeller accuracies over all documents and a scorer from a bounded
     sample; None for an empty table.
 
-    The pattern counts read every whole text.  ``sample_docs`` distinct texts
-    (expected; by a hash of the text, so reruns agree) of at most SAMPLE_CHARS
-    code points reach the driver, each once however many copies it has.
+    The pattern counts read every whole text.  Of ``sample_docs`` distinct texts
+    of any length (expected, fewer where SAMPLE_CHARS code points are reached,
+    at least one; by a hash of the text, so reruns agree) the whole text's votes
+    and at most SLICE_CHARS code points reach the driver, each once however
+    many copies it has.
     """
     prepare(docs.sparkSession)
     texts = docs.select(F.coalesce(F.col(text), F.lit("")).alias("t"))
@@ -176,13 +176,21 @@ def fit(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS) ->
         return None
     model = estimate(counts)
     span = 1 << 40
-    short = texts.filter(F.length("t") <= SAMPLE_CHARS)
-    n_texts = short.select(F.xxhash64("t", F.lit(13)).alias("hash")).distinct().count()
-    rate = min(span, math.ceil(sample_docs / max(1, n_texts) * span))
-    rows = _drawn(short, rate, span)
-    sample = sorted({(xxhash.xxh64_intdigest(r["t"].encode(), 2), r["t"]) for r in rows.collect()})
-    own = [t for _, t in sample] or [""]
-    target = np.array([model["posterior"].get(pattern(t), model["prior"]) for t in own])
+    draw = F.pmod(F.xxhash64("t", F.lit(13)), F.lit(span))
+    sizes = (texts.select(draw.alias("draw"), F.least(F.length("t"), F.lit(SLICE_CHARS)).alias("chars")).distinct()
+             .agg(F.count("*").alias("n"), F.sum("chars").alias("chars"), F.min("draw").alias("first")).first())
+    rate = min(sample_docs / sizes["n"], SAMPLE_CHARS / max(1, sizes["chars"]))
+    drawn = texts.filter(draw < max(sizes["first"] + 1, min(span, math.ceil(rate * span)))).distinct()
+
+    def voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [pattern(t) for t in b.column("t").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("part"), pa.array(found, pa.int32())], names=["part", "pattern"])
+
+    rows = map_batches(drawn.select("t", slice_of(F.col("t"), SLICE_CHARS).alias("part")), voted, "part string, pattern int").distinct()
+    sample = sorted({(xxhash.xxh64_intdigest(r["part"].encode(), 2), r["part"], r["pattern"]) for r in rows.collect()})
+    own = [t for _, t, _ in sample]
+    target = np.array([model["posterior"].get(p, model["prior"]) for _, _, p in sample])
     model["scorer"] = _fit_scorer(own, target)
     return model
 
