@@ -1,12 +1,15 @@
 """DuckDB SQL of the operators that SQL can express."""
 
+# Row by row: repeated ids are one document, rows without an id are none.
 _LINES = r"""
-WITH lines AS (
-  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
-  FROM documents
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents
+), lines AS (
+  SELECT row, doc_id, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) AS pos
+  FROM d
 ), keyed AS (
-  SELECT doc_id, pos, line,
+  SELECT row, doc_id, pos, line,
          translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
   FROM lines
@@ -14,22 +17,23 @@ WITH lines AS (
   SELECT key, min(doc_id) AS keeper FROM keyed WHERE length(key) >= 10
   GROUP BY key HAVING count(DISTINCT doc_id) >= 2
 ), marked AS (
-  SELECT k.doc_id, k.pos, k.line, (r.key IS NOT NULL AND k.doc_id <> r.keeper) AS dropped
+  SELECT k.row, k.doc_id, k.pos, k.line, (r.key IS NOT NULL AND coalesce(k.doc_id <> r.keeper, FALSE)) AS dropped
   FROM keyed k LEFT JOIN repeated r ON k.key = r.key
 )
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
-FROM marked GROUP BY doc_id
+FROM marked GROUP BY row, doc_id
 """
 
+# A row without an id belongs to no group.
 _EXACT = """
 WITH t AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
   FROM documents
 )
-SELECT doc_id, max(doc_id) OVER (PARTITION BY key) AS keep_id, count(*) OVER (PARTITION BY key) AS group_size,
-       doc_id = max(doc_id) OVER (PARTITION BY key) AS kept, sha256(key) AS text_sha256
-FROM t
+SELECT doc_id, max(doc_id) OVER g AS keep_id, CASE WHEN doc_id IS NULL THEN 1 ELSE count(doc_id) OVER g END AS group_size,
+       coalesce(doc_id = max(doc_id) OVER g, TRUE) AS kept, sha256(key) AS text_sha256
+FROM t WINDOW g AS (PARTITION BY key, doc_id IS NULL)
 """
 
 _MIX = r"""

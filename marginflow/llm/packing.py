@@ -184,17 +184,18 @@ def pack(docs: DataFrame, path: str, limit: int = LIMIT, end_id: int = END_ID, d
                 names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    pieces = written(map_batches(source, cut, "doc_id long, piece int, start long, length long, ids_crc32 long"),
-                     "pieces")
+    pieces = written(map_batches(source, cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
+                     .withColumn("row", F.monotonically_increasing_id()), "pieces")
 
-    # ranks within a length: salted groups, shifted by the counts of the salts before
+    # ranks within a length: salted groups, shifted by the counts of the salts
+    # before.  Salted by the written row, so that equal rows spread, too
     salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)).cast("int"))
+    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(salts)).cast("int"))
     counts = written(salted.groupBy("length", "salt").agg(F.count("*").alias("n")), "lengths")
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     before = counts.select("length", "salt", (F.sum("n").over(
         Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("before"))
-    within = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
+    within = Window.partitionBy("length", "salt").orderBy("row")
     ranked = (salted.withColumn("place", F.row_number().over(within) - 1).join(before, ["length", "salt"])
               .select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("place")).alias("rank")))
 

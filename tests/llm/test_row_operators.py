@@ -1,8 +1,10 @@
 """Operators that treat each document by itself: language, tokens, quality,
 toxicity.  Brute force, round trips and held-out accuracy."""
 
+import random
 import zlib
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -22,6 +24,10 @@ def frame(spark, texts):
     return spark.createDataFrame(rows, DOCS)
 
 
+def identified(spark, rows):
+    return spark.createDataFrame([(i, t, None, None, None, 0.5, "u", 1) for i, t in rows], DOCS)
+
+
 ODD = ["plain words here.", None, "", "null id row", " \n\t ", "1234 #### 5678", "tie", "tie", LONG, "x" * 200_000,
        "a  b   c \n d", "ends with space ", "<|endoftext|> inside a<|endoftext|>b  <|endoftext|>", "nul\x00byte here",
        "emoji 😀 ümläut 日本語 　 wide"]
@@ -177,9 +183,68 @@ def test_quality_sample_counts_a_text_once(spark, monkeypatch):
     assert used[1] == 101 and max(map(len, sent)) == 101
 
 
+LONG_WORDS = "the cat sat on a mat and then it went to see some old friends by the river while they were at home".split()
+
+
+def long_text(rng, n, extra=()):
+    words = [rng.choice(LONG_WORDS) for _ in range(n)]
+    for w in extra:
+        words[rng.randrange(n)] = w
+    return " ".join(w + ("." if k % 12 == 11 else "") for k, w in enumerate(words))
+
+
+def test_quality_of_long_texts_only(spark):
+    """Where every text is over 16,384 code points the scorer learns from them."""
+    rng = random.Random(8)
+    good = [(i, long_text(rng, 4500)) for i in range(30)]
+    bad = [(100 + i, " ".join(rng.choice(["###", "@@", "$$$", "WIN", "CLICK", "<>"]) for _ in range(6000))) for i in range(30)]
+    df = identified(spark, good + bad)
+    assert min(len(t) for _, t in good + bad) > 16_384
+    model = quality.fit(df)
+    assert np.abs(model["scorer"]["words"]).max() > 0
+    score = {r.doc_id: r.score for r in quality.score(df, model, [F.col("doc_id")], "doc_id long").collect()}
+    assert min(score[i] for i, _ in good) > max(score[i] for i, _ in bad)
+
+
+def test_quality_sample_is_bounded_by_code_points(spark, monkeypatch):
+    rng = random.Random(9)
+    df = identified(spark, [(i, long_text(rng, 2000)) for i in range(80)])
+    monkeypatch.setattr(quality, "SLICE_CHARS", 3_000)
+    monkeypatch.setattr(quality, "SAMPLE_CHARS", 60_000)
+    used, scorer = [], quality._fit_scorer
+    monkeypatch.setattr(quality, "_fit_scorer", lambda own, target: used.extend(own) or scorer(own, target))
+    quality.fit(df)
+    assert 5 < len(used) < 45 and max(map(len, used)) == 3_000
+
+
+def test_toxicity_of_long_texts_only(spark):
+    """Labelled texts over 16,384 code points give a model and differing scores."""
+    rng = random.Random(11)
+    toxic = [f"vile{k}" for k in range(5)]
+    rows = [(i, long_text(rng, 4500, [rng.choice(toxic) for _ in range(60)] if i % 3 == 0 else ())) for i in range(120)]
+    assert min(len(t) for _, t in rows) > 16_384
+    df = identified(spark, rows)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(90)], "doc_id long, toxic int")
+    model = toxicity.fit(df, labels)
+    score = {r.doc_id: r.score for r in toxicity.score(df, model, [F.col("doc_id")], "doc_id long").collect()}
+    held = range(90, 120)
+    assert min(score[i] for i in held if i % 3 == 0) > max(score[i] for i in held if i % 3)
+
+
+def test_toxicity_sample_is_bounded_by_code_points(spark, monkeypatch):
+    rng = random.Random(12)
+    rows = [(i, long_text(rng, 1500, ["vile"] * 20 if i % 2 else ())) for i in range(60)]
+    monkeypatch.setattr(toxicity, "SLICE_CHARS", 2_000)
+    monkeypatch.setattr(toxicity, "SAMPLE_CHARS", 20_000)
+    seen, words = [], toxicity.words_of
+    monkeypatch.setattr(toxicity, "words_of", lambda t: seen.append(len(t)) or words(t))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    assert toxicity.fit(identified(spark, rows), labels) is not None
+    assert max(seen) <= 2_000 and 12 <= len(seen) <= 20
+
+
 def test_estimated_accuracies_follow_the_labellers():
     """EM on votes of simulated labellers ranks a reliable above a weak one."""
-    import numpy as np
     rng = np.random.default_rng(3)
     k = len(quality.LABELLERS)
     truth = rng.random(20_000) < 0.8
@@ -225,7 +290,6 @@ def test_forward_backward_equals_enumeration():
     """Marginals of short chains against all tag sequences."""
     import itertools
 
-    import numpy as np
     rng = np.random.default_rng(5)
     lengths = np.array([3, 0, 5, 1], np.int64)
     emit = rng.normal(size=int(lengths.sum()))
