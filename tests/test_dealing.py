@@ -61,4 +61,5 @@ def test_deal_keeps_rows_and_bounds_files(spark, tmp_path):
 def test_small_tables_are_not_dealt(spark, monkeypatch):
     assert catalog.dealing(spark, SF_SMALL).dealing is None
     monkeypatch.setattr(catalog, "DEAL_FROM_BYTES", 0)
-    assert catalog.dealing(spark, SF_SMALL).dealing is not None
+    with conf(spark, **{"spark.sql.requireAllClusterKeysForCoPartition": "true"}):
+        assert catalog.dealing(spark, SF_SMALL).dealing is not None
