@@ -22,14 +22,26 @@ COLUMNS = ["client_id", "platform", "attribution_window", "cohort_month"]
 COUNTS = {"n_report_days": ["day"], "num_campaigns": ["campaign", "unknown campaign"]}
 
 
+def activity_facts(ws: Workspace) -> DataFrame:
+    """The keys of the operational model's rows, with the campaign's number.
+    Sets don't count a row twice, so nothing is summed, and the client lookup,
+    which keeps every row, is left out."""
+    masters = ws.cl("campaigns")
+    positions = materialize(ws.spark, numbered(masters, "campaign_id", ["account_id"]), "campaign-positions")
+    if any(ws.stored(f"model:{m}") for m in ("unified_ad_metrics", "unified_sums")):
+        facts = unified_ad_metrics(ws).select("client_id", "platform", "attribution_window", "report_date", "campaign_id")
+        return facts.join(positions, "campaign_id", "left")
+    facts = ws.cl("ad_metrics").select("campaign_id", "client_id", "report_date", "attribution_window")
+    lookup = masters.select("campaign_id", "platform").join(positions, "campaign_id")
+    return ws.dealt(facts, "campaign_id", "activity-facts").join(lookup, "campaign_id", "left")
+
+
 def activity_words(ws: Workspace) -> DataFrame:
     """Words of the finest level: days by number, campaigns by their number in
     the campaign master (ordered by account, so a client's campaigns share
     words); a campaign that the master lacks is a word of its own."""
-    facts = unified_ad_metrics(ws).select("client_id", "platform", "attribution_window", "report_date", "campaign_id")
-    masters = ws.cl("campaigns").select("campaign_id", "account_id")
-    positions = materialize(ws.spark, numbered(masters, "campaign_id", ["account_id"]), "campaign-positions")
-    facts = facts.withColumn("cohort_month", month_start("report_date")).join(positions, "campaign_id", "left")
+    facts = (ws.dealt(activity_facts(ws), "client_id", "activity-facts")
+             .withColumn("cohort_month", month_start("report_date")))
     slot, word = text_word(F.col("campaign_id"))
     return bit_words(facts, LEVELS["month"], {
         "day": word_of(F.unix_date("report_date")),
@@ -45,7 +57,8 @@ def client_activity(ws: Workspace) -> DataFrame:
     the one before, so the facts are read once.  A group without any day or
     campaign (all NULL) has no word and no row.
     """
-    words = materialize(ws.spark, activity_words(ws), "activity-words")
+    words = activity_words(ws)
+    words = ws.dealt(words, "client_id", "activity-words") if ws.dealing else materialize(ws.spark, words, "activity-words")
     out = None
     for level, keys in LEVELS.items():
         words = merge_words(words, keys) if level != "month" else words
