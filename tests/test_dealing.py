@@ -63,3 +63,55 @@ def test_small_tables_are_not_dealt(spark, monkeypatch):
     monkeypatch.setattr(catalog, "DEAL_FROM_BYTES", 0)
     with conf(spark, **{"spark.sql.requireAllClusterKeysForCoPartition": "true"}):
         assert catalog.dealing(spark, SF_SMALL).dealing is not None
+
+
+def test_activity_words_are_grouped_where_the_facts_were_dealt(spark, dealt, ws_small):
+    ws = Workspace.from_testdata(spark, SF_SMALL, Dealing(buckets=5, writers=2))  # nothing stored before
+    plan = activity.activity_words(ws)._jdf.queryExecution().executedPlan().toString()
+    assert "dealt_activity_facts" in plan and "Exchange" not in plan, plan
+    plan = activity.client_activity(ws)._jdf.queryExecution().executedPlan().toString()
+    assert "dealt_activity_words" in plan and "Exchange" not in plan, plan
+    assert _rows(activity.client_activity(ws)) == _rows(activity.client_activity(ws_small.fresh()))
+
+
+def test_contracts_store_sums_only(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(catalog, "dealing", lambda *a: Recorder())
+
+    class Recorder:
+        def staged(self, models):
+            stored.extend(models)
+            raise StopIteration
+    for name in ("dq_summary", "dq_not_null", "dq_unique_combination", "dq_relationships", "dq_expression_range",
+                 "dq_violating_rows", "dq_profit_consistency", "internal_cost_allocation", "dq_allocation_reconciliation"):
+        with pytest.raises(StopIteration):
+            catalog.QUERIES[name](spark, SF_SMALL)
+    assert set(stored) == {"unified_sums", "client_projects_with_time"}
+
+
+def test_stored_sums_give_every_model(spark, ws_small):
+    ws = ws_small.fresh().staged({m: catalog._STAGES[m] for m in catalog._FACTS})
+    for model in (operational.unified_ad_metrics, business.client_paid_blended, operational.campaign_profitability):
+        df = model(ws)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "unified_sums-" in plan and "lineitem" not in plan, plan
+        assert _rows(df) == _rows(model(ws_small.fresh()))
+
+
+def test_dealt_media_rows_hold_no_derived_column(spark, dealt, ws_small):
+    ws = Workspace.from_testdata(spark, SF_SMALL, Dealing(buckets=5, writers=2))
+    table = business.media_rows(ws)
+    stored = re.search(r"dealt_media_rows_\w+", table._jdf.queryExecution().executedPlan().toString()).group()
+    assert spark.table(stored).columns == business.SPEND_COLUMNS
+    assert _rows(table) == _rows(business.media_rows(ws_small.fresh()))
+
+
+def test_bucket_holds_as_much_at_every_size(spark, monkeypatch):
+    """What one task holds doesn't grow from 0.1 GB (where buckets follow the cores) to 6 GB."""
+    made = {}
+    monkeypatch.setattr(Workspace, "from_testdata", lambda s, d, how=None: made.setdefault(d, how))
+    for mb in (96, 960, 5760):
+        monkeypatch.setattr(catalog, "workspace", lambda s, d, mb=mb: type("W", (), {"state": ((0, mb << 20),)}))
+        with conf(spark, **{"spark.sql.requireAllClusterKeysForCoPartition": "true"}):
+            catalog.dealing(spark, str(mb))
+    assert all((int(mb) << 20) / how.buckets <= 8 << 20 for mb, how in made.items()), made
