@@ -1,12 +1,14 @@
 """Facts dealt out in bucketed tables: the same rows, and no exchange of facts."""
 
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from marginflow.plans import activity, business, catalog, contracts, operational
 from marginflow.plans.context import Workspace
+from marginflow.sources import testdata
 from marginflow.sources.sinks import Dealing, deal
 from tests.conftest import SF_SMALL
 from tests.test_plans import conf
@@ -66,6 +68,21 @@ def test_small_tables_are_not_dealt(spark, monkeypatch):
         assert catalog.dealing(spark, SF_SMALL).dealing is not None
 
 
+def test_tables_in_folders_are_dealt_by_the_size_of_their_files(spark, tmp_path, monkeypatch):
+    """Spark writes a table as a folder, whose own length says nothing of its files."""
+    parts = {t: 3 if t in ("orders", "lineitem", "events") else 1 for t in testdata.TABLES}
+    for t, n in parts.items():
+        spark.read.parquet(f"{SF_SMALL}/{t}.parquet").repartition(n).write.parquet(f"{tmp_path}/{t}.parquet")
+    size = sum(p.stat().st_size for p in Path(tmp_path).rglob("part-*.parquet"))
+    found = sum(n for _, n in testdata.TestTables(spark, str(tmp_path)).state())
+    assert size <= found < size + 1000  # the writer's markers
+    monkeypatch.setattr(catalog, "DEAL_FROM_BYTES", size // 2)
+    with conf(spark, **{"spark.sql.requireAllClusterKeysForCoPartition": "true"}):
+        assert catalog.dealing(spark, str(tmp_path)).dealing is not None
+    monkeypatch.setattr(catalog, "DEAL_FROM_BYTES", 2 * size)
+    assert catalog.dealing(spark, str(tmp_path)).dealing is None
+
+
 def test_activity_words_are_grouped_where_the_facts_were_dealt(spark, dealt, ws_small):
     ws = Workspace.from_testdata(spark, SF_SMALL, Dealing(buckets=5, writers=2))  # nothing stored before
     plan = activity.activity_words(ws)._jdf.queryExecution().executedPlan().toString()
