@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from marginflow.plans import activity, business, catalog, contracts, operational
+from marginflow.plans import activity, business, catalog, context, contracts, operational
 from marginflow.plans.context import Workspace
 from marginflow.sources import testdata
 from marginflow.sources.sinks import Dealing, deal
@@ -145,3 +145,45 @@ def test_files_of_a_bucket_do_not_multiply_with_the_tables(spark, monkeypatch):
             catalog.dealing(spark, str(mb))
     assert (960 << 20) / (made["960"].buckets * made["960"].writers) >= 1 << 17, made
     assert all(how.buckets / how.writers <= 6 for how in made.values()), made
+
+
+def test_contracts_deal_each_fact_out_once_per_lookup(spark, monkeypatch):
+    """Client time and utilisation share their rows; facts meet order, campaign,
+    employee, project and client without an exchange."""
+    dealings, moved = [], {}
+
+    def recorded(s, df, key, how, name):
+        dealings.append((name, key))
+        moved[name, key] = _dealt_anew(df)
+        return deal(s, df, key, how, name)
+    monkeypatch.setattr(context, "deal", recorded)
+    monkeypatch.setattr(catalog, "DEAL_FROM_BYTES", 0)
+    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.requireAllClusterKeysForCoPartition": "true"}):
+        catalog.QUERIES["dq_unique_combination"](spark, SF_SMALL)
+    assert sorted(d for d in dealings if d[0] != "parent-keys") == [
+        ("ad-facts", "client_id"), ("client_projects_with_time", "client_id"), ("lines", "order_id"), ("lines", "order_id"),
+        ("unified_sums", "client_id"), ("work-facts", "_fact_key"), ("work-facts", "_fact_key"), ("work-facts", "client_id")]
+    assert not any(moved.values()), moved
+
+
+def test_a_writer_holds_few_buckets_at_every_size(spark, monkeypatch):
+    """A writing task adds up the memory of its buckets."""
+    made = {}
+    monkeypatch.setattr(Workspace, "from_testdata", lambda s, d, how=None: made.setdefault(d, how))
+    for mb in (96, 960, 5760):
+        monkeypatch.setattr(catalog, "workspace", lambda s, d, mb=mb: type("W", (), {"state": ((0, mb << 20),)}))
+        with conf(spark, **{"spark.sql.requireAllClusterKeysForCoPartition": "true"}):
+            catalog.dealing(spark, str(mb))
+    assert all(how.buckets / how.writers <= 4 for how in made.values()), made
+
+
+def test_entries_without_an_employee_keep_their_rows_when_dealt(spark):
+    """They are dealt by a hash, not in one bucket, and match no employee."""
+    def rows(dealing):
+        ws = Workspace.from_testdata(spark, SF_SMALL, dealing)
+        entries = ws.cl("time_tracking")
+        ws.seed("cl:time_tracking", entries.withColumn("employee_id", F.when(F.col("hours_worked") > 2, F.col("employee_id"))))
+        return operational.work_facts(ws)
+    plain, dealt = rows(None), rows(Dealing(buckets=5, writers=2))
+    assert _rows(dealt) == _rows(plain)
+    assert plain.where("employee_id IS NULL").count() > 0 == plain.where("employee_id IS NULL AND employee_name IS NOT NULL").count()
