@@ -33,7 +33,7 @@ def activity_facts(ws: Workspace) -> DataFrame:
         return facts.join(positions, "campaign_id", "left")
     facts = ws.cl("ad_metrics").select("campaign_id", "client_id", "report_date", "attribution_window")
     lookup = masters.select("campaign_id", "platform").join(positions, "campaign_id")
-    return ws.dealt(facts, "campaign_id", "activity-facts").join(lookup, "campaign_id", "left")
+    return ws.dealt(facts, "campaign_id", "activity-facts", placed=True).join(lookup, "campaign_id", "left")
 
 
 def activity_words(ws: Workspace) -> DataFrame:
@@ -58,7 +58,7 @@ def client_activity(ws: Workspace) -> DataFrame:
     campaign (all NULL) has no word and no row.
     """
     words = activity_words(ws)
-    words = ws.dealt(words, "client_id", "activity-words") if ws.dealing else materialize(ws.spark, words, "activity-words")
+    words = ws.dealt(words, "client_id", "activity-words", keep=True, placed=True) if ws.dealing else materialize(ws.spark, words, "activity-words")
     out = None
     for level, keys in LEVELS.items():
         words = merge_words(words, keys) if level != "month" else words
