@@ -60,7 +60,10 @@ def pinned_monthly_spend(ws: Workspace) -> DataFrame:
     Columns: report_month, platform, n_rows, spend_eur.
     """
     spark = ws.spark
-    facts = materialize(spark, unified_ad_metrics(ws), "unified-ad-metrics")
+    # from the stored sums: the KPIs take as much disk again and follow from them
+    facts = unified_ad_metrics(ws)
+    if not ws.stored("model:unified_sums"):
+        facts = materialize(spark, facts, "unified-ad-metrics")
     out = scratch_folder(ensure_checkpoint_dir(spark), "published")
     publish(spark, out, {"ol_unified_ad_metrics": facts}, monthly={"ol_unified_ad_metrics": "report_date"})
     pinned = PinnedVersion(spark, out)

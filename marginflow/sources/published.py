@@ -5,20 +5,22 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from marginflow.operators.aggregates import month_start
 from marginflow.sources.sinks import new_version, publish_version, published_version, write_table
 
 
+# Files that a month may have: as many tasks write.
+MONTH_FILES = 128
+
+
 def write_monthly(df: DataFrame, path: str, day: str, month: str = "report_month") -> None:
     """Store a fact table in a folder per month of ``day`` (first day of the
-    month, as the partition column ``month``).  Rows are dealt out by month and
-    a hash of the row, so that a month with most of the rows is not one task,
+    month, as the partition column ``month``).  Every task writes the rows it has,
+    without an exchange before, so a month with most of the rows is not one task,
     and a month has a bounded number of files."""
-    rows = df.withColumn(month, month_start(day))
-    parts = F.pmod(F.xxhash64(*df.columns), F.lit(8))
-    write_table(rows.repartition(F.col(month), parts), path, partition_by=[month], mode="errorifexists")
+    rows = df.withColumn(month, month_start(day)).coalesce(MONTH_FILES)
+    write_table(rows, path, partition_by=[month], mode="errorifexists", compression="zstd")
 
 
 def publish(spark: SparkSession, out_dir: str, tables: dict[str, DataFrame], monthly: dict[str, str] | None = None) -> str:
